@@ -131,8 +131,8 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), id_col: str = "do
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _ARROW, strict=True)], names=_NAMES)
 
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = words.encode(text.as_py()) + END
+            for doc_id, ids in zip(b.column(0).to_pylist(), words.encode_all(b.column(1).to_pylist()), strict=True):
+                ids += END
                 n = len(ids) // 4
                 for s in range(0, n, whole):
                     length = min(whole, n - s)

@@ -8,11 +8,16 @@ parameter (`where`); nothing is copied here.
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 
 import numpy as np
 
-#: Words kept in the cache (the cache is emptied when full) and the longest word that is kept.
-CACHE, LONGEST = 200_000, 48
+#: Words of one generation of the cache, the longest word that is kept, and characters encoded at once.
+CACHE, LONGEST, CHUNK = 400_000, 48, 1_000_000
+#: ASCII marks that the pre-tokenizer always splits off a letter or digit before or after them.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Put between words that are encoded in one call; a word that holds it is encoded by itself.
+MARK = "\x01"
 
 
 def path_of(name: str, where: str | None = None) -> str:
@@ -24,28 +29,75 @@ def path_of(name: str, where: str | None = None) -> str:
 
 
 class WordIds(dict):
-    """word -> its ids as little-endian unsigned 32-bit bytes."""
+    """word -> its ids as little-endian unsigned 32-bit bytes; two generations, so its size is bounded."""
 
     def __init__(self, name: str = "word_bpe_49k.json", where: str | None = None):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path_of(name, where))
-
-    def __missing__(self, word: str) -> bytes:
-        out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= LONGEST:
-            if len(self) >= CACHE:
-                self.clear()
-            self[word] = out
-        return out
-
-    def encode(self, text: str | None) -> bytes:
-        """The whole text's ids; null and empty texts have none."""
-        if not text:
-            return b""
-        flat = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
-        return b"".join(map(self.__getitem__, flat.split(" ")))
+        self.old: dict[str, bytes] = {}
+        ids = self._ids(MARK)
+        self.mark = int(ids[0]) if len(ids) == 1 else None
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _fill(self, words: list[str]) -> None:
+        """Encode these words in one call, or one by one where the mark can't part them."""
+        plain = [w for w in words if MARK not in w] if self.mark is not None else []
+        if plain:
+            ids = self._ids(f" {MARK} ".join(plain))
+            cuts = [-1, *np.flatnonzero(ids == self.mark).tolist(), len(ids)]
+            if len(cuts) == len(plain) + 1:
+                data = ids.tobytes()
+                self.update((w, data[4 * i + 4 : 4 * j]) for w, i, j in zip(plain, cuts[:-1], cuts[1:], strict=True))
+        for w in words:
+            if w not in self:
+                self[w] = self._ids(w).tobytes()
+
+    def warm(self, words: set[str]) -> None:
+        """Have all of these in the cache; words that differ in case or marks share their core."""
+        if len(self) > CACHE:
+            self.old = {w: b for w, b in self.items() if len(w) <= LONGEST}
+            self.clear()
+        fresh, need = [], set()
+        for w in words:
+            if w in self:
+                continue
+            if (b := self.old.get(w)) is not None:
+                self[w] = b
+                continue
+            core, tail = parts(w)
+            fresh.append((w, core, tail))
+            need.update((core, tail))
+        self._fill([w for w in need if w not in self])
+        for w, core, tail in fresh:
+            self[w] = self[core] + self[tail] if tail else self[core]
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each whole text; null and empty texts have none."""
+        at = 0
+        while at < len(texts):
+            size, to = 0, at
+            while to < len(texts) and (to == at or size < CHUNK):
+                size += len(texts[to] or "")
+                to += 1
+            lists = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts[at:to]]
+            self.warm(set().union(*lists))
+            yield from (b"".join(map(self.__getitem__, ws)) for ws in lists)
+            at = to
+
+
+def parts(word: str) -> tuple[str, str]:
+    """A word's core in lower case (ASCII words only) and the marks after it, which never share a token."""
+    if "<|" in word:
+        return word, ""
+    low = word.lower() if word.isascii() else word
+    core = low.rstrip(MARKS)
+    if core and len(core) < len(low) and ((last := core[-1].lower()).isalpha() or last.isascii() and last.isdigit()):
+        return core, low[len(core) :]
+    return low, ""
 
 
 def byte_bpe(name: str = "byte_bpe_50k.tiktoken", where: str | None = None):
