@@ -8,7 +8,9 @@ parameter (`where`); nothing is copied here.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 
@@ -20,6 +22,19 @@ MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 MARK = "\x01"
 
 
+#: Below this, lower-casing is letter by letter and every letter is one pre-token with its neighbours.
+LATIN = "\u0250"
+
+
+def _byte_letters() -> dict[int, int]:
+    """How byte-level vocabularies spell bytes: printable Latin-1 as itself, the others from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+BYTES = _byte_letters()
+
+
 def path_of(name: str, where: str | None = None) -> str:
     if where:
         return f"{where}/{name}"
@@ -44,7 +59,16 @@ class WordIds(dict):
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _fill(self, words: list[str]) -> None:
-        """Encode these words in one call, or one by one where the mark can't part them."""
+        """Words of small Latin letters go straight to the model, being one pre-token that normalising
+        leaves as it is; the others are encoded in one call, or singly where the mark can't part them."""
+        direct, rest = self.tokenizer.model.tokenize, []
+        for w in words:
+            if w.isalpha() and max(w) < LATIN and w == w.lower() and (w.isascii() or is_normalized("NFC", w)):
+                seen = w if w.isascii() else w.encode().decode("latin-1").translate(BYTES)
+                self[w] = array("I", [t.id for t in direct(seen)]).tobytes()
+            else:
+                rest.append(w)
+        words = rest
         plain = [w for w in words if MARK not in w] if self.mark is not None else []
         if plain:
             ids = self._ids(f" {MARK} ".join(plain))
@@ -90,10 +114,10 @@ class WordIds(dict):
 
 
 def parts(word: str) -> tuple[str, str]:
-    """A word's core in lower case (ASCII words only) and the marks after it, which never share a token."""
+    """A word's core in lower case (Latin words only) and the marks after it, which never share a token."""
     if "<|" in word:
         return word, ""
-    low = word.lower() if word.isascii() else word
+    low = word.lower() if word.isascii() or max(word) < LATIN else word
     core = low.rstrip(MARKS)
     if core and len(core) < len(low) and ((last := core[-1].lower()).isalpha() or last.isascii() and last.isdigit()):
         return core, low[len(core) :]
