@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, simhash
+from . import decontam, html, lattice, packing, pii, sharding, simhash, toxicity
 from .base import table
 
 
@@ -21,6 +21,29 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
+def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.assign(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -29,7 +52,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
+    "op4_html": op4_html,
+    "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
+    "op7_pii": op7_pii,
+    "op9_lattice": op9_lattice,
+    "op10_decontam": op10_decontam,
 }
 
 ORACLE_SQL: dict[str, str] = {}

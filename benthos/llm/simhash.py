@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .base import Stored, ship, stored
 from .components import components
+from .units import block_pairs, forest, solve, units
 
 BITS = 64
 #: Rows of one key handled together; larger keys are split into blocks of about this size.
@@ -181,38 +182,20 @@ def plan(reps: DataFrame, tau: int, choices: tuple[int, ...] = (2, 3, 4)) -> tup
 # --- probing and verifying --------------------------------------------------------------------
 
 
-def _forest(rep: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from each linked row to the root of its local component (least rep)."""
-    lab = np.arange(len(rep))
-    while True:
-        low = np.minimum(lab[i], lab[j])
-        new = lab.copy()
-        np.minimum.at(new, lab[i], low)
-        np.minimum.at(new, lab[j], low)
-        new = new[new]
-        if (new == lab).all():
-            break
-        lab = new
-    at = np.flatnonzero(lab != np.arange(len(rep)))
-    return rep[at], rep[lab[at]]
-
-
 def link_unit(fp: np.ndarray, rep: np.ndarray, home: np.ndarray, blk: np.ndarray, left: int, right: int, tau: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of one unit: home rows of one block against all rows of the other, both ways round."""
-    out_a, out_b = [], []
-    for a, b in {(left, right), (right, left)}:
-        h, o = np.flatnonzero(home & (blk == a)), np.flatnonzero(blk == b)
-        for c in range(0, len(h), BLOCK):
-            x, y = np.nonzero(np.bitwise_count(fp[h[c : c + BLOCK], None] ^ fp[None, o]) <= tau)
-            x, y = h[c + x], o[y]
-            keep = rep[x] != rep[y]
-            out_a.append(x[keep])
-            out_b.append(y[keep])
-    i, j = np.concatenate(out_a), np.concatenate(out_b)
+    """A spanning forest of one unit's links."""
+    i, j = [], []
+    for h, o in block_pairs(home, blk, left, right, BLOCK):
+        x, y = np.nonzero(np.bitwise_count(fp[h, None] ^ fp[None, o]) <= tau)
+        x, y = h[x], o[y]
+        keep = rep[x] != rep[y]
+        i.append(x[keep])
+        j.append(y[keep])
+    i, j = np.concatenate([*i, np.zeros(0, np.int64)]), np.concatenate([*j, np.zeros(0, np.int64)])
     if not len(i):
         return rep[:0], rep[:0]
     ids, inv = np.unique(rep, return_inverse=True)
-    return _forest(ids, inv[i], inv[j])
+    return forest(ids, inv[i], inv[j])
 
 
 def links(reps: DataFrame, tau: int = 3) -> DataFrame:
@@ -229,40 +212,15 @@ def links(reps: DataFrame, tau: int = 3) -> DataFrame:
     placed = rows[0]
     for r in rows[1:]:
         placed = placed.union(r)
-    crowded = placed.groupBy("part", "key").agg(F.count("*").alias("n"), F.max("home").alias("some")).where("n > 1 and some").select("part", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    blk = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    units = (
-        placed.join(crowded, ["part", "key"])
-        .withColumn("blk", blk)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("part", "key", F.least("blk", "other").alias("l"), F.greatest("blk", "other").alias("r"), "blk", "fp", "rep", "home")
-    )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+    def work(g: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame | None:
+        fp, rep, home, blk, left, right = (g[c].to_numpy() for c in ("fp", "rep", "home", "blk", "l", "r"))
+        fp = fp.view(np.uint64)
+        found = [link_unit(fp[s:e], rep[s:e], home[s:e], blk[s:e], left[s], right[s], tau) for s, e in zip(cuts[:-1], cuts[1:], strict=True) if e - s > 1]
+        found = [x for x in found if len(x[0])]
+        return pd.DataFrame({"a": np.concatenate([x[0] for x in found]), "b": np.concatenate([x[1] for x in found])}) if found else None
 
-        def solve(g: pd.DataFrame) -> pd.DataFrame | None:
-            v = g[["part", "key", "l", "r"]].to_numpy()
-            cut = np.flatnonzero((v[1:] != v[:-1]).any(1)) + 1
-            fp, rep, home, b = g["fp"].to_numpy().view(np.uint64), g["rep"].to_numpy(), g["home"].to_numpy(), g["blk"].to_numpy()
-            l, r = g["l"].to_numpy(), g["r"].to_numpy()
-            found = [link_unit(fp[s:e], rep[s:e], home[s:e], b[s:e], l[s], r[s], tau) for s, e in zip([0, *cut], [*cut, len(g)], strict=True) if e - s > 1]
-            found = [x for x in found if len(x[0])]
-            return pd.DataFrame({"a": np.concatenate([x[0] for x in found]), "b": np.concatenate([x[1] for x in found])}) if found else None
-
-        for b in batches:
-            b = b if held is None else pd.concat([held, b], ignore_index=True)
-            last = b[["part", "key", "l", "r"]].iloc[-1]
-            tail = (b[["part", "key", "l", "r"]] == last).all(axis=1).to_numpy()
-            start = len(b) - int(tail[::-1].argmin()) if not tail.all() else 0
-            held = b.iloc[start:]
-            if start and (done := solve(b.iloc[:start])) is not None:
-                yield done
-        if held is not None and (done := solve(held)) is not None:
-            yield done
-
-    order = ["part", "key", "l", "r"]
-    return units.repartition(*order).sortWithinPartitions(*order).mapInPandas(run, "a long, b long")
+    return solve(units(placed, ["part", "key"], "fp", BLOCK), ["part", "key"], work, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = 3, size: int = 3) -> DataFrame:
