@@ -12,16 +12,10 @@ from array import array
 from collections.abc import Iterator
 from unicodedata import is_normalized
 
-import numpy as np
-
-#: Words of one generation of the cache, the longest word that is kept, and characters encoded at once.
-CACHE, LONGEST, CHUNK = 400_000, 48, 1_000_000
+#: Words of one generation of the cache, and the longest word that is kept.
+CACHE, LONGEST = 500_000, 48
 #: ASCII marks that the pre-tokenizer always splits off a letter or digit before or after them.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Put between words that are encoded in one call; a word that holds it is encoded by itself.
-MARK = "\x01"
-
-
 #: Below this, lower-casing is letter by letter and every letter is one pre-token with its neighbours.
 LATIN = "\u0250"
 
@@ -51,66 +45,38 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path_of(name, where))
+        self.direct = self.tokenizer.model.tokenize
         self.old: dict[str, bytes] = {}
-        ids = self._ids(MARK)
-        self.mark = int(ids[0]) if len(ids) == 1 else None
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _fill(self, words: list[str]) -> None:
-        """Words of small Latin letters go straight to the model, being one pre-token that normalising
-        leaves as it is; the others are encoded in one call, or singly where the mark can't part them."""
-        direct, rest = self.tokenizer.model.tokenize, []
-        for w in words:
-            if w.isalpha() and max(w) < LATIN and w == w.lower() and (w.isascii() or is_normalized("NFC", w)):
-                seen = w if w.isascii() else w.encode().decode("latin-1").translate(BYTES)
-                self[w] = array("I", [t.id for t in direct(seen)]).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        out = self.old.get(word)
+        if out is None:
+            core, tail = parts(word)
+            if tail:
+                out = self[core] + self[tail]
+            elif core != word:
+                out = self[core]
+            elif word.isalpha() and max(word) < LATIN and (word.isascii() or is_normalized("NFC", word)):
+                # One pre-token of small Latin letters, which normalising leaves as it is: straight to the model.
+                seen = word if word.isascii() else word.encode().decode("latin-1").translate(BYTES)
+                out = array("I", [t.id for t in self.direct(seen)]).tobytes()
             else:
-                rest.append(w)
-        words = rest
-        plain = [w for w in words if MARK not in w] if self.mark is not None else []
-        if plain:
-            ids = self._ids(f" {MARK} ".join(plain))
-            cuts = [-1, *np.flatnonzero(ids == self.mark).tolist(), len(ids)]
-            if len(cuts) == len(plain) + 1:
-                data = ids.tobytes()
-                self.update((w, data[4 * i + 4 : 4 * j]) for w, i, j in zip(plain, cuts[:-1], cuts[1:], strict=True))
-        for w in words:
-            if w not in self:
-                self[w] = self._ids(w).tobytes()
-
-    def warm(self, words: set[str]) -> None:
-        """Have all of these in the cache; words that differ in case or marks share their core."""
-        if len(self) > CACHE:
-            self.old = {w: b for w, b in self.items() if len(w) <= LONGEST}
-            self.clear()
-        fresh, need = [], set()
-        for w in words:
-            if w in self:
-                continue
-            if (b := self.old.get(w)) is not None:
-                self[w] = b
-                continue
-            core, tail = parts(w)
-            fresh.append((w, core, tail))
-            need.update((core, tail))
-        self._fill([w for w in need if w not in self])
-        for w, core, tail in fresh:
-            self[w] = self[core] + self[tail] if tail else self[core]
+                out = array("I", self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids).tobytes()
+        if len(word) <= LONGEST:
+            if len(self) >= CACHE:
+                self.old = dict(self)
+                self.clear()
+            self[word] = out
+        return out
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids of a whole text; null and empty texts have none."""
+        if not text:
+            return b""
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
 
     def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each whole text; null and empty texts have none."""
-        at = 0
-        while at < len(texts):
-            size, to = 0, at
-            while to < len(texts) and (to == at or size < CHUNK):
-                size += len(texts[to] or "")
-                to += 1
-            lists = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts[at:to]]
-            self.warm(set().union(*lists))
-            yield from (b"".join(map(self.__getitem__, ws)) for ws in lists)
-            at = to
+        return map(self.encode, texts)
 
 
 def parts(word: str) -> tuple[str, str]:
