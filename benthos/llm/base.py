@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _LEFT: list = []
@@ -61,6 +62,20 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return Stored(df, tag).read()
 
 
+#: Ids that may be broadcast: 8 bytes each.
+BROADCAST_IDS = 2_000_000
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """docs less the rows whose id is in the one column of `gone`; rows with a null id stay.
+
+    The ids are broadcast while they are few (counted first), so texts stay where they are; beyond
+    that the join shuffles.
+    """
+    ids = stored(gone.toDF("__gone").where("__gone is not null").distinct(), "gone")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, F.col(id_col) == F.col("__gone"), "left_anti")
+
+
 @atexit.register
 def _sweep() -> None:
     for s in list(_LEFT):

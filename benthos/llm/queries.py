@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html, lattice, packing, pii, sharding, simhash, toxicity
-from .base import table
+from . import decontam, html, lattice, lm, packing, pii, rollup, sharding, simhash, toxicity
+from .base import shared_dir, stored, table
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,25 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents arrive in batches with estimated counts, are revised to exact ones, and two batches are replayed."""
+    counts = stored(rollup.token_counts(table(spark, sf_dir, "documents")).withColumn("guess", F.ceil(F.col("n_bytes") / 4)).withColumn("b", F.pmod(F.xxhash64("doc_id"), F.lit(4))), "counts")
+    ledger = rollup.Ledger(spark, f"{shared_dir(spark)}/benthos-ledger-{uuid.uuid4().hex}")
+    for b in range(4):
+        part = counts.where(F.col("b") == b)
+        ledger.commit(f"insert-{b}", rollup.changes(part, "insert", n="guess"))
+        ledger.commit(f"revise-{b}", rollup.changes(part, "revise", n="n_tokens", old="guess"))
+    ledger.commit("insert-0", rollup.changes(counts, "insert", n="guess"))
+    ledger.commit("revise-3", rollup.changes(counts, "delete", old="n_tokens"))
+    return ledger.totals()
+
+
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm.score(docs, lm.fit(docs, good))
+
+
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -52,10 +72,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
+    "op3_rollup": op3_rollup,
     "op4_html": op4_html,
     "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
     "op7_pii": op7_pii,
+    "op8_lm": op8_lm,
     "op9_lattice": op9_lattice,
     "op10_decontam": op10_decontam,
 }

@@ -81,7 +81,8 @@ def assign(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the rows themselves as path/shard=N; rows of equal text go together."""
-    to = assign(docs, shards, id_col, text_col).select(F.col("text_sha256").alias("_h"), F.col("shard").alias("_s")).distinct()
+    """Write the rows themselves as path/shard=N; rows of equal text go together; a `shard` column of their own is replaced."""
+    to = assign(docs, shards, id_col, text_col).select(F.col("text_sha256").alias("__h"), F.col("shard").alias("__s")).distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    docs.withColumn("_g", F.unhex(F.sha2(text.cast("binary"), 256))).join(to, F.col("_g") == F.col("_h")).drop("_g", "_h").withColumnRenamed("_s", "shard").write.partitionBy("shard").parquet(path)
+    joined = docs.drop("shard").withColumn("__g", F.unhex(F.sha2(text.cast("binary"), 256))).join(to, F.col("__g") == F.col("__h"))
+    joined.drop("__g", "__h").withColumnRenamed("__s", "shard").write.partitionBy("shard").parquet(path)
