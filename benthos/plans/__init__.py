@@ -1 +1 @@
-"""Part of benthos; see the README for the map."""
+"""Queries over the driver's tables, with the SQL they are checked against."""
