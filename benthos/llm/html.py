@@ -123,6 +123,8 @@ def parse(page: str) -> Node:
                     here = here.up
                 open_tags[tag] -= 1
                 here = here.up
+            elif tag == "p":
+                here.parts.append(Node("p", here))  # as browsers do: it ends a block
             continue
         if tag in CLOSES_P and open_tags["p"]:
             x = here
@@ -209,14 +211,14 @@ def containers(root: Node) -> list[Node]:
     found: dict[int, Node] = {}
     for text, node, share in blocks(root):
         worth, x = len(text) * (1 - share), node if node.tag in CONTAINER else node.up
-        while x is not None and x.up is not None:
-            if x.tag in CONTAINER and not x.drop:
+        while x is not None:
+            if (x.tag in CONTAINER or x.up is None) and not x.drop:
                 x.score += worth
                 found[id(x)] = x
                 worth *= 0.6
             x = x.up
     for x in found.values():
-        x.score *= (1.6 if x.tag in ("article", "main") else 1.2 if x.good else 0.6 if x.tag == "body" else 1.0)
+        x.score *= (1.6 if x.tag in ("article", "main") else 1.2 if x.good else 0.6 if x.tag in ("body", "") else 1.0)
     return sorted(found.values(), key=lambda x: -x.score)
 
 

@@ -3,8 +3,8 @@
 Both models are class bigrams, p(w | h) = p(class(w) | class(h)) p(w | class(w)), with the same
 vocabulary, classes and smoothing; the background counts all documents and the target those that
 belong to the target domain.  The most frequent words are classes of their own; the other words of
-the vocabulary, and words outside it, share hashed classes.  Model size is therefore fixed by VOCAB
-and CLASSES whatever the corpus, while the counts behind it are exact sums over every document.
+the vocabulary, and words outside it, share hashed classes.  Model size is therefore fixed by Sizes
+whatever the corpus, while the counts behind it are exact sums over every document.
 A document's score is the mean over its tokens of target loss less background loss (lower is more
 like the target).
 """
@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 
 from .base import ship, stored
 
-#: Words of the shared vocabulary, words with a class of their own, all classes (the last starts a document).
-VOCAB, OWN, CLASSES = 65_536, 1535, 2048
-HASHED, START = CLASSES - OWN - 1, CLASSES - 1
 #: Weight of the class unigram in the bigram's smoothing, and target ids that may be broadcast.
 PRIOR, BROADCAST_IDS = 20.0, 2_000_000
 _WORD = re.compile(r"\w+")
@@ -36,16 +33,24 @@ def tokens(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def hashed_class(word: str) -> int:
-    return OWN + zlib.crc32(word.encode("utf-8", "surrogatepass")) % HASHED
+class Sizes(NamedTuple):
+    """Words of the shared vocabulary, words with a class of their own, all classes (the last starts a document)."""
+
+    vocab: int = 65_536
+    own: int = 1535
+    classes: int = 2048
+
+    def hashed(self, word: str) -> int:
+        return self.own + zlib.crc32(word.encode("utf-8", "surrogatepass")) % (self.classes - self.own - 1)
 
 
 class Vocabulary:
     """word -> (class, index); words outside the vocabulary have their class and the last index."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self, words: list[str], sizes: Sizes):
+        self.sizes = sizes
         self.index = {w: i for i, w in enumerate(words)}
-        self.classes = np.array([i if i < OWN else hashed_class(w) for i, w in enumerate(words)] + [0], np.int64)
+        self.classes = np.array([i if i < sizes.own else sizes.hashed(w) for i, w in enumerate(words)] + [0], np.int64)
         self.n = len(words)
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -54,9 +59,13 @@ class Vocabulary:
         idx = np.fromiter((get(w, n) for w in words), np.int64, len(words))
         cls = self.classes[idx]
         for i in np.flatnonzero(idx == n):
-            cls[i] = hashed_class(words[i])
+            cls[i] = self.sizes.hashed(words[i])
         return cls, idx
 
+    def before(self, cls: np.ndarray) -> np.ndarray:
+        """The class that each class follows."""
+        return np.concatenate(([self.sizes.classes - 1], cls[:-1]))
+
 
 class Model(NamedTuple):
     vocabulary: Vocabulary
@@ -70,31 +79,31 @@ class Model(NamedTuple):
         if not words:
             return 0, 0.0, 0.0
         cls, idx = self.vocabulary.encode(words)
-        before = np.concatenate(([START], cls[:-1]))
+        before = self.vocabulary.before(cls)
         out = []
         for pair, word, rare in zip(self.pair, self.word, self.rare, strict=True):
             out.append(float((pair[before, cls].astype(np.float64) + np.where(idx < self.vocabulary.n, word[idx], rare[cls])).mean()))
         return len(words), out[0], out[1]
 
 
-def model_of(words: list[str], counts: tuple[np.ndarray, np.ndarray], pairs: tuple[np.ndarray, np.ndarray]) -> Model:
-    """counts: of each vocabulary word; pairs: CLASSES x CLASSES. Target first, then background."""
-    v = Vocabulary(words)
-    size = np.bincount(v.classes[:-1], minlength=CLASSES) + (np.arange(CLASSES) >= OWN)  # a place for words outside
+def model_of(words: list[str], counts: tuple[np.ndarray, np.ndarray], pairs: tuple[np.ndarray, np.ndarray], sizes: Sizes) -> Model:
+    """counts: of each vocabulary word; pairs: classes x classes. Target first, then background."""
+    v, k = Vocabulary(words, sizes), sizes.classes
+    size = np.bincount(v.classes[:-1], minlength=k) + (np.arange(k) >= sizes.own)  # a place for words outside
     out = []
     for n, p in zip(counts, pairs, strict=True):
         got = p.sum(0).astype(np.float64)
-        prior = (got + 1) / (got.sum() + CLASSES)
+        prior = (got + 1) / (got.sum() + k)
         pair = -np.log((p + PRIOR * prior) / (p.sum(1, keepdims=True) + PRIOR))
         total = got + size
         word = -np.log((np.append(n, 0) + 1) / np.maximum(total[v.classes], 1))
-        rare_n = np.maximum(got - np.bincount(v.classes[:-1], n, CLASSES), 0)
+        rare_n = np.maximum(got - np.bincount(v.classes[:-1], n, k), 0)
         rare = -np.log((rare_n + 1) / np.maximum(total, 1))
         out.append((pair.astype(np.float32), word, rare))
     return Model(v, *zip(*out, strict=True))
 
 
-def fit(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", sizes: Sizes = Sizes()) -> Model:
     """Count words and class pairs of every document, for the target's ids and for all.
 
     Null texts count nothing; a null id is never in the target; ids that occur twice count twice.
@@ -112,22 +121,23 @@ def fit(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col
                 every.update(got)
                 if hit:
                     target.update(got)
-            yield pd.DataFrame({"w": list(every), "n": list(every.values()), "t": [target[w] for w in every]})
+            if every:
+                yield pd.DataFrame({"w": list(every), "n": list(every.values()), "t": [target[w] for w in every]})
 
     total = marked.mapInPandas(words, "w string, n long, t long").groupBy("w").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-    top = total.orderBy(F.desc("n"), "w").limit(VOCAB).collect()  # a fixed number of rows
+    top = total.orderBy(F.desc("n"), "w").limit(sizes.vocab).collect()  # a fixed number of rows
     vocab = [r["w"] for r in top]
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = Vocabulary(shared.value)
-        sums = np.zeros((2, CLASSES * CLASSES), np.int64)
+        v = Vocabulary(shared.value, sizes)
+        sums = np.zeros((2, sizes.classes**2), np.int64)
         for b in batches:
             keys: tuple[list, list] = ([], [])
             for text, hit in zip(b["text"], b["hit"], strict=True):
                 cls, _ = v.encode(tokens(text))
                 if len(cls):
-                    key = np.concatenate(([START], cls[:-1])) * CLASSES + cls
+                    key = v.before(cls) * sizes.classes + cls
                     keys[1].append(key)
                     if hit:
                         keys[0].append(key)
@@ -135,15 +145,16 @@ def fit(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col
                 if k:
                     np.add.at(s, np.concatenate(k), 1)
         at = np.flatnonzero(sums[1])
-        yield pd.DataFrame({"k": at.astype(np.int32), "t": sums[0, at], "n": sums[1, at]})
+        if len(at):
+            yield pd.DataFrame({"k": at.astype(np.int32), "t": sums[0, at], "n": sums[1, at]})
 
-    got = marked.mapInPandas(pairs, "k int, t long, n long").groupBy("k").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).toPandas()  # CLASSES squared rows at most
+    got = marked.mapInPandas(pairs, "k int, t long, n long").groupBy("k").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).toPandas()  # classes squared rows at most
     dense = []
     for c in ("t", "n"):
-        a = np.zeros(CLASSES * CLASSES, np.float32)
+        a = np.zeros(sizes.classes**2, np.float32)
         a[got["k"].to_numpy()] = got[c].to_numpy()
-        dense.append(a.reshape(CLASSES, CLASSES))
-    return model_of(vocab, (np.array([r["t"] for r in top], float), np.array([r["n"] for r in top], float)), tuple(dense))
+        dense.append(a.reshape(sizes.classes, sizes.classes))
+    return model_of(vocab, (np.array([r["t"] for r in top], float), np.array([r["n"] for r in top], float)), tuple(dense), sizes)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,7 +170,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for b in batches:
             rows = [m.losses(t) for t in b["text"]]
             out = pd.DataFrame(rows, columns=["n_tokens", "loss_target", "loss_background"])
-            out.insert(0, "doc_id", b["doc_id"].astype("Int64").to_numpy(dtype=object))
+            out.insert(0, "doc_id", b["doc_id"].astype("Int64"))
             yield out.assign(difference=out["loss_target"] - out["loss_background"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(run, "doc_id long, n_tokens long, loss_target double, loss_background double, difference double")

@@ -258,10 +258,16 @@ def respell(kind: str, s: str, pick: int) -> str:
     return [f"({t[:3]}) {t[3:6]}-{t[6:]}", f"{t[:3]}-{t[3:6]}-{t[6:]}", f"{t[:3]}.{t[3:6]}.{t[6:]}", f"00{d[:-10]} {t[:3]} {t[3:6]} {t[6:]}"][pick % 4]
 
 
+#: Ordinary words that look like spelled-out addresses or numbers (fixed list); they teach what isn't personal.
+_DECOYS = ("at the dot of", "a dot on", "dot com", "look at dot", "the red dot at", "in 1999", "about 500 at", "version 3.4", "of 12 to 15", "1999-2004")
+
+
 def training_graph(text: str) -> Graph:
-    """The document's graph with true labels in `clamp`, half of the mentions respelled."""
+    """The document's graph with true labels in `clamp`, half of the mentions respelled, and a decoy put in."""
     out, spans, at = [], [], 0
     n = 0
+    if (cut := text.find(" ", zlib.crc32(text.encode("utf-8", "surrogatepass")) % max(1, len(text)))) >= 0:
+        text = f"{text[:cut]} {_DECOYS[cut % len(_DECOYS)]}{text[cut:]}"
     for x in sorted(base_spans(text), key=lambda x: x.start):
         if x.start < at:
             continue
@@ -386,7 +392,7 @@ def find(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
                 n = [sum(x.kind == k for x in base) for k in KINDS]
                 extra = added_spans(t, base, field) if t else []
                 rows.append((*n, hashlib.sha256(listed(base).encode()).hexdigest(), listed(base + extra)))
-            yield pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]).assign(doc_id=b["doc_id"].astype("Int64").to_numpy(dtype=object))[["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]]
+            yield pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]).assign(doc_id=b["doc_id"].astype("Int64"))[["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]]
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 

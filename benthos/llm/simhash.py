@@ -206,9 +206,11 @@ def links(reps: DataFrame, tau: int = 3) -> DataFrame:
     for i, part, t in used:
         key = key_of(F.col("fp"), part)
         masks = [sum(1 << b for b in c) for k in range(1, t + 1) for c in itertools.combinations(range(len(part)), k)]
-        probes = F.transform(F.array(*[F.lit(v).cast("long") for v in masks]), lambda v, key=key: F.struct(key.bitwiseXOR(v).alias("key"), F.lit(False).alias("home"))) if masks else None
-        own = F.array(F.struct(key.alias("key"), F.lit(True).alias("home")))
-        rows.append(reps.select(F.lit(i).alias("part"), "fp", "rep", F.explode(F.concat(own, probes) if masks else own).alias("x")).select("part", "fp", "rep", "x.key", "x.home"))
+        own = reps.select(F.lit(i).alias("part"), "fp", "rep", key.alias("key"))
+        rows.append(own.withColumn("home", F.lit(True)))
+        if masks:
+            mask = F.explode(F.array(*[F.lit(v).cast("long") for v in masks])).alias("mask")
+            rows.append(own.select("*", mask).select("part", "fp", "rep", F.col("key").bitwiseXOR(F.col("mask")).alias("key"), F.lit(False).alias("home")))
     placed = rows[0]
     for r in rows[1:]:
         placed = placed.union(r)
