@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import ship
-from .tokens import WordIds, cached
+from .tokens import WordIds
 
 
 class Limits(NamedTuple):
@@ -112,7 +112,7 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), id_col: str = "do
     whole = min(limits.tokens, limits.loss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = cached(WordIds, "word_bpe_49k.json", where)
+        words = WordIds("word_bpe_49k.json", where)
         packer = Packer(limits, True)
         seq = TaskContext.get().partitionId() << 33
         rows: list[tuple] = []

@@ -32,7 +32,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, enc = cached(WordIds, "word_bpe_49k.json", where), cached(byte_bpe, "byte_bpe_50k.tiktoken", where)
+        words, enc = WordIds("word_bpe_49k.json", where), cached(byte_bpe, "byte_bpe_50k.tiktoken", where)
         for b in batches:
             texts = [t or "" for t in b["text"]]
             by = ([len(x) // 4 for x in words.encode_all(texts)], [len(enc.encode_ordinary(t)) for t in texts])

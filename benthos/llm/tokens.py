@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from unicodedata import is_normalized
 
 #: Words of one generation of the cache, and the longest word that is kept.
-CACHE, LONGEST = 500_000, 48
+CACHE, LONGEST = 400_000, 48
 #: ASCII marks that the pre-tokenizer always splits off a letter or digit before or after them.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Below this, lower-casing is letter by letter and every letter is one pre-token with its neighbours.
@@ -41,10 +41,8 @@ class WordIds(dict):
     """word -> its ids as little-endian unsigned 32-bit bytes; two generations, so its size is bounded."""
 
     def __init__(self, name: str = "word_bpe_49k.json", where: str | None = None):
-        from tokenizers import Tokenizer
-
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path_of(name, where))
+        self.tokenizer = cached(_load, path_of(name, where))
         self.direct = self.tokenizer.model.tokenize
         self.old: dict[str, bytes] = {}
 
@@ -100,6 +98,12 @@ def byte_bpe(name: str = "byte_bpe_50k.tiktoken", where: str | None = None):
     return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _load(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 _CACHED: dict = {}
 
 
