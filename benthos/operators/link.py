@@ -145,7 +145,8 @@ def match_truth(found: DataFrame, truth: DataFrame, keys: list[str], min_iou: fl
     """
     cols = [f.name for f in found.schema]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema) + ", landed_on long"
-    fk, tk = found.select(*cols), truth.select(*keys, "track", "ord", *BOX)
+    fk = found.select(*cols)
+    tk = truth.select(*[F.col(c).alias(f"t_{c}") for c in (*keys, "track", "ord", *BOX)])  # names of its own: both sides may be one table
 
     def one(f: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         if not len(f):
@@ -153,8 +154,8 @@ def match_truth(found: DataFrame, truth: DataFrame, keys: list[str], min_iou: fl
         if not len(t):
             return f.assign(landed_on=pd.array([pd.NA] * len(f), "Int64"))[[*cols, "landed_on"]]
         f = f.sort_values(["conf", "ord"], ascending=[False, True], kind="stable")
-        t = t.sort_values("ord", kind="stable")
-        tb, ids, taken, out = t[BOX].to_numpy(float), t["track"].to_numpy(), np.zeros(len(t), bool), []
+        t = t.sort_values("t_ord", kind="stable")
+        tb, ids, taken, out = t[[f"t_{c}" for c in BOX]].to_numpy(float), t["t_track"].to_numpy(), np.zeros(len(t), bool), []
         for box in f[BOX].to_numpy(float):
             hit = pd.NA
             over = np.where(taken, -1.0, overlaps(box, tb))
@@ -164,7 +165,7 @@ def match_truth(found: DataFrame, truth: DataFrame, keys: list[str], min_iou: fl
             out.append(hit)
         return f.assign(landed_on=pd.array(out, "Int64"))[[*cols, "landed_on"]]
 
-    return fk.groupBy(*keys).cogroup(tk.groupBy(*keys)).applyInPandas(one, schema)
+    return fk.groupBy(*keys).cogroup(tk.groupBy(*[f"t_{k}" for k in keys])).applyInPandas(one, schema)
 
 
 def fuse_passes(boxes: DataFrame, passes: int, keys: list[str]) -> DataFrame:
