@@ -37,8 +37,8 @@ class Sizes(NamedTuple):
     """Words of the shared vocabulary, words with a class of their own, all classes (the last starts a document)."""
 
     vocab: int = 65_536
-    own: int = 1535
-    classes: int = 2048
+    own: int = 767
+    classes: int = 1024
 
     def hashed(self, word: str) -> int:
         return self.own + zlib.crc32(word.encode("utf-8", "surrogatepass")) % (self.classes - self.own - 1)
@@ -148,7 +148,7 @@ def fit(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col
         if len(at):
             yield pd.DataFrame({"k": at.astype(np.int32), "t": sums[0, at], "n": sums[1, at]})
 
-    got = marked.mapInPandas(pairs, "k int, t long, n long").groupBy("k").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).toPandas()  # classes squared rows at most
+    got = marked.mapInPandas(pairs, "k int, t long, n long").groupBy("k").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).toArrow()  # classes squared rows at most
     dense = []
     for c in ("t", "n"):
         a = np.zeros(sizes.classes**2, np.float32)

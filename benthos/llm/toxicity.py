@@ -100,7 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for b in batches:
             yield pd.DataFrame({"y": b["y"], "ids": [sorted(vocab[w] for w in ws if w in vocab) for ws in b["words"]]})
 
-    got = rows.mapInPandas(pick, "y int, ids array<int>").toPandas()
+    got = rows.mapInPandas(pick, "y int, ids array<int>").toArrow().to_pandas()
     got = got.assign(k=got["ids"].map(lambda v: tuple(v))).sort_values(["y", "k"], kind="stable")
     x, y = [np.asarray(v, np.int64) for v in got["ids"]], (got["y"].to_numpy() > 0).astype(int)
     w, _ = fit_ordinal(x, y, len(vocab), 1)
