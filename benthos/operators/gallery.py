@@ -57,8 +57,8 @@ def box_at(looks: DataFrame, moments: DataFrame, key: str) -> DataFrame:
     look = F.struct("second", "x1", "y1", "x2", "y2")
     none = F.lit(None)
     both = moments.select(key, F.col("now").alias("_w"), F.lit(1).alias("_m"), none.alias("_l")).unionByName(looks.select(key, F.col("second").alias("_w"), F.lit(0).alias("_m"), look.alias("_l")), allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy("_w")
-    x = both.withColumn("_b", F.last("_l", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, -1e-9))).withColumn("_a", F.first("_l", ignorenulls=True).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))).where("_m = 1")
+    w = Window.partitionBy(key).orderBy("_w", F.desc("_m"))  # a look at the very moment comes after it
+    x = both.withColumn("_b", F.last("_l", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("_a", F.first("_l", ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))).where("_m = 1")
     now, b, a = F.col("_w"), F.col("_b"), F.col("_a")
     span = a["second"] - b["second"]
     part = F.when(span > 0, (now - b["second"]) / span).otherwise(0.0)

@@ -73,7 +73,7 @@ def moments_to_read(spark, sf_dir):
     return p.select("p_partkey", F.size("m").cast("bigint").alias("looks"), F.get("m", 0).cast("bigint").alias("first"))
 
 
-@query(with_sql(SIGHTINGS) + """SELECT recording, taxon, concat('Detector guess: ', taxon, ' · ', recording, ' · ', lpad(CAST(s // 3600 AS VARCHAR),2,'0'), ':', lpad(CAST((s // 60) % 60 AS VARCHAR),2,'0'), ':', lpad(CAST(s % 60 AS VARCHAR),2,'0'), ' · ', CAST(CAST(floor(c*100+0.5) AS BIGINT) AS VARCHAR), '% certainty · ', CAST(n AS VARCHAR), ' frame', CASE WHEN n = 1 THEN '' ELSE 's' END) AS caption, CASE WHEN d >= 0.05::DOUBLE THEN concat(printf('%.1f', d), 's') ELSE '·' END AS held
+@query(with_sql(SIGHTINGS) + """SELECT recording, taxon, concat('Detector guess: ', taxon, ' · ', recording, ' · ', lpad(CAST(s // 3600 AS VARCHAR),2,'0'), ':', lpad(CAST((s // 60) % 60 AS VARCHAR),2,'0'), ':', lpad(CAST(s % 60 AS VARCHAR),2,'0'), ' · ', CAST(CAST(floor(c*100+0.5) AS BIGINT) AS VARCHAR), '% certainty · ', CAST(n AS VARCHAR), ' frame', CASE WHEN n = 1 THEN '' ELSE 's' END) AS caption, CASE WHEN d >= 0.05::DOUBLE THEN concat(printf('%.1f', floor(d*10+0.5)/10), 's') ELSE '·' END AS held
 FROM (SELECT recording, taxon, CAST(floor(min(second)+0.5) AS BIGINT) AS s, max(confidence) AS c, count(*) AS n, max(second) - min(second) AS d FROM sightings GROUP BY 1, 2)""")
 def tile_captions(spark, sf_dir):
     t = adapt.sightings(spark, sf_dir).groupBy("recording", "taxon").agg(F.min("second").alias("s"), F.max("confidence").alias("c"), F.count("*").alias("n"), (F.max("second") - F.min("second")).alias("d"))

@@ -1,7 +1,8 @@
-"""The folder that all executors share."""
+"""What a session needs besides Spark: the folder that all executors share, and this package on workers."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -13,3 +14,12 @@ def shared_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='benthos-')}")
     return sc.getCheckpointDir()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did (a cluster gets it by --py-files or an image)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    parts = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in parts:
+        env["PYTHONPATH"] = ":".join([root, *parts])

@@ -35,10 +35,11 @@ def first_seen(stream: DataFrame, key: str, at: str, late: str) -> DataFrame:
     return stream.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
 
 
-def tracked(stream: DataFrame, gap: float) -> DataFrame:
+def tracked(stream: DataFrame, gap: float, idle_ms: int | None = None) -> DataFrame:
     """sightings with `animal`: the batch tracker with a fixed gap, holding only open tracks as state.
 
-    Moments of one recording must arrive in order; a recording is dropped from state an hour after its last batch.
+    Moments of one recording must arrive in order.  With `idle_ms` a recording leaves the state that long after
+    its last batch; a query with such a time-out never runs dry, so leave it out under availableNow.
     """
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema) + ", animal long"
     state = "next long, ids array<long>, last array<double>, boxes array<double>, taxa array<string>"
@@ -57,10 +58,11 @@ def tracked(stream: DataFrame, gap: float) -> DataFrame:
         for second, m in g.groupby("second", sort=True):
             ids += linker.moment(float(second), m[BOX].to_numpy(float), m["taxon"].tolist())
         held.update((linker.next, linker.ids.tolist(), linker.last.tolist(), linker.boxes.ravel().tolist(), linker.taxa.tolist()))
-        held.setTimeoutDuration(3_600_000)
+        if idle_ms:
+            held.setTimeoutDuration(idle_ms)
         yield g.assign(animal=ids)
 
-    return stream.groupBy("recording").applyInPandasWithState(step, schema, state, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return stream.groupBy("recording").applyInPandasWithState(step, schema, state, "append", GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
 
 
 def run_once(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
