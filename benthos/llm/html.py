@@ -40,6 +40,10 @@ DROP_ROLE = frozenset("navigation banner contentinfo complementary search dialog
 DROP_CLASS = re.compile(r"(?:^|[\s_-])(?:ads?|adbox|adslot|adverts?|advertis\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notifications?|sidebar\w*|side|menu\w*|nav\w*|breadcrumbs?|footer\w*|header\w*|masthead|topbar|comments?\w*|commentlist|disqus\w*|respond|repl(?:y|ies)|discussion|share\w*|sharing|social\w*|related\w*|recommend\w*|popup|modal|overlay|newsletter\w*|subscri\w*|signup|sign-up|login|widget\w*|toolbar|pagination|pager|skip\w*|alert\w*|disclaimer|taboola|outbrain)(?:[\s_-]|$)", re.I)
 GOOD_CLASS = re.compile(r"(?:^|[\s_-])(?:article\w*|content|post\w*|entry\w*|story\w*|main\w*|text|body)(?:[\s_-]|$)", re.I)
 
+#: Class names that speak of something beside the element, and of an article's own head.
+BESIDE = re.compile(r"(?:with|without|has|no)[-_]", re.I)
+TITLE_CLASS = re.compile(r"(?:^|\s)(?:article|post|entry|page|story)[-_]?(?:header|head)(?:\s|$)", re.I)
+
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
@@ -47,20 +51,25 @@ _DIGITS = re.compile(r"[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "name", "drop", "good", "up", "parts", "score", "link")
+    __slots__ = ("tag", "name", "drop", "good", "up", "parts", "score", "link", "head")
 
     def __init__(self, tag: str, up: Node | None, attrs: str = ""):
         self.tag, self.up, self.parts, self.score = tag, up, [], 0.0
         self.name, self.good = tag, False
         self.drop = (up is not None and up.drop) or tag in DROP_TAG
         self.link = tag == "a" or (up is not None and up.link)
+        self.head = tag == "header" or (up is not None and up.head)
         if attrs and not attrs.isspace():
             a = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
             marks = f"{a.get('class', '')} {a.get('id', '')}"
             if "class" in a:
                 self.name = ".".join([tag, *sorted({_DIGITS.sub("#", c) for c in a["class"].split()})])
             if not self.drop and tag not in ("html", "body", "article", "main"):
-                self.drop = bool(DROP_CLASS.search(marks))
+                own = " ".join(t for t in marks.split() if not BESIDE.match(t))
+                if TITLE_CLASS.search(own):
+                    self.head = True
+                else:
+                    self.drop = bool(DROP_CLASS.search(own))
             self.drop = self.drop or a.get("role", "").lower() in DROP_ROLE or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "") or bool(re.search(r"(?:^|\s)hidden(?:\s|$)", attrs))
             self.good = bool(GOOD_CLASS.search(marks)) or a.get("role") == "main"
         if tag == "header" and not self.drop:
@@ -176,7 +185,7 @@ def blocks(top: Node) -> Iterator[tuple[str, Node, float]]:
         x, leave = stack.pop()
         if isinstance(x, tuple):
             text, node = x
-            if not (node.within("header") and not (node.tag in HEADING or node.within(*HEADING))):
+            if not node.head or node.tag in HEADING or node.within(*HEADING):
                 buf.append(text)
                 linked += len(text) if node.link else 0
             continue

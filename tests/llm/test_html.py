@@ -15,6 +15,13 @@ def test_boilerplate_goes_and_the_article_stays():
     assert text(page) == "Title & more\nFirst paragraph, with bold text. Same block.\none\ntwo\nLast\nUnclosed"
 
 
+def test_classes_that_speak_of_something_else():
+    body = "<p>The text of the page, which is long enough to be the text.</p>"
+    assert text(f"<div class='layout with-sidebar'>{body}</div><div class='left-sidebar'><p>no</p></div>") == "The text of the page, which is long enough to be the text."
+    assert text(f"<article><div class='post-header'><h2>Head</h2><span>by someone</span></div>{body}<div id='comments'><p>no</p></div></article>").startswith("Head\nThe text")
+    assert text(f"<main><header><h1>Head</h1><p>by someone</p></header>{body}</main>").startswith("Head\nThe text")
+
+
 def test_odd_pages():
     assert text(None) == text("") == text("<a href='x") == text("<script>x") == ""
     assert text("plain < text &amp; 5 > 3") == "plain < text & 5 > 3"
