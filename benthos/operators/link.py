@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from benthos.functions.exprs import shared_prefix, touches_edge
 
+from .groups import stream_groups
+
 # Fixed values of the tracking rules.
 TRACK_IOU, RELABEL_IOU, TRACK_GAP, GAP_SAMPLES, DRIFT, BURST, GAP_CEILING = 0.15, 0.3, 1.5, 2.5, 3.0, 0.2, 30.0
 MATCH_IOU, REACH, VEHICLE_SECONDS, VEHICLE_SHARE = 0.3, 0.5, 10.0, 0.8
@@ -145,27 +147,26 @@ def match_truth(found: DataFrame, truth: DataFrame, keys: list[str], min_iou: fl
     """
     cols = [f.name for f in found.schema]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema) + ", landed_on long"
-    fk = found.select(*cols)
-    tk = truth.select(*[F.col(c).alias(f"t_{c}") for c in (*keys, "track", "ord", *BOX)])  # names of its own: both sides may be one table
-
-    def one(f: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if not len(f):
-            return pd.DataFrame(columns=[*cols, "landed_on"])
-        if not len(t):
-            return f.assign(landed_on=pd.array([pd.NA] * len(f), "Int64"))[[*cols, "landed_on"]]
-        f = f.sort_values(["conf", "ord"], ascending=[False, True], kind="stable")
-        t = t.sort_values("t_ord", kind="stable")
-        tb, ids, taken, out = t[[f"t_{c}" for c in BOX]].to_numpy(float), t["t_track"].to_numpy(), np.zeros(len(t), bool), []
-        for box in f[BOX].to_numpy(float):
-            hit = pd.NA
-            over = np.where(taken, -1.0, overlaps(box, tb))
-            k = len(over) - 1 - int(over[::-1].argmax())
-            if over[k] >= min_iou:
-                taken[k], hit = True, int(ids[k])
-            out.append(hit)
-        return f.assign(landed_on=pd.array(out, "Int64"))[[*cols, "landed_on"]]
-
-    return fk.groupBy(*keys).cogroup(tk.groupBy(*[f"t_{k}" for k in keys])).applyInPandas(one, schema)
+    blank = lambda f: F.lit(0 if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "byte") else "" if f.dataType.typeName() == "string" else None).cast(f.dataType).alias(f.name)
+    own = {*keys, "ord", *BOX}
+    t = truth.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in own else blank(f) for f in found.schema], F.lit(0).alias("_side"), F.col("track").cast("long").alias("_track"))
+    both = t.unionByName(found.select(*cols, F.lit(1).alias("_side"), F.lit(0).cast("long").alias("_track")))
+
+    def work(g: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
+        boxes, side, ids = g[BOX].to_numpy(float), g["_side"].to_numpy(), g["_track"].to_numpy()
+        landed, hit = np.zeros(len(g), np.int64), np.zeros(len(g), bool)
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            m = s + int((side[s:e] == 0).sum())
+            tb, taken = boxes[s:m], np.zeros(m - s, bool)
+            for i in range(m, e) if m > s else ():
+                over = np.where(taken, -1.0, overlaps(boxes[i], tb))
+                k = len(over) - 1 - int(over[::-1].argmax())
+                if over[k] >= min_iou:
+                    taken[k], hit[i], landed[i] = True, True, ids[s + k]
+        mine = side == 1
+        return g.loc[mine, cols].assign(landed_on=pd.array(np.where(hit, landed, 0)[mine], "Int64").copy()).assign(landed_on=lambda d: d["landed_on"].mask(~hit[mine]))
+
+    return stream_groups(both, keys, ["_side", F.when(F.col("_side") == 1, -F.col("conf")), "ord"], work, schema)
 
 
 def fuse_passes(boxes: DataFrame, passes: int, keys: list[str]) -> DataFrame:
@@ -176,38 +177,44 @@ def fuse_passes(boxes: DataFrame, passes: int, keys: list[str]) -> DataFrame:
     kind = {f.name: f.dataType.simpleString() for f in boxes.schema}
     schema = ", ".join([*[f"`{k}` {kind[k]}" for k in keys], "label string, votes long, confidence double, x1 double, y1 double, x2 double, y2 double"])
 
-    def one(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["confidence", "ord"], ascending=[False, True], kind="stable").reset_index(drop=True)
-        b, left, rows = g[BOX].to_numpy(float), np.ones(len(g), bool), []
-        area = np.maximum((b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1]), 1e-9)
-        for i in range(len(g)):
-            if not left[i]:
-                continue
-            w = np.maximum(0, np.minimum(b[i, 2], b[:, 2]) - np.maximum(b[i, 0], b[:, 0]))
-            h = np.maximum(0, np.minimum(b[i, 3], b[:, 3]) - np.maximum(b[i, 1], b[:, 1]))
-            same = left & ((overlaps(b[i], b) >= 0.45) | (w * h / np.minimum(area, area[i]) >= 0.7))
-            same[i] = True
-            left &= ~same
-            votes = g[same].drop_duplicates("pass_no")["confidence"]
-            rows.append((*[g.loc[i, k] for k in keys], g.loc[i, "taxon"], len(votes), round(float(votes.sum()) / passes, 5), *b[i]))
-        return pd.DataFrame(rows, columns=[*keys, "label", "votes", "confidence", *BOX])
-
-    return boxes.groupBy(*keys).applyInPandas(one, schema)
+    def work(g: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
+        b, votes_of, passes_of = g[BOX].to_numpy(float), g["confidence"].to_numpy(), g["pass_no"].to_numpy()
+        area, rows = np.maximum((b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1]), 1e-9), []
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            left = np.ones(e - s, bool)
+            for i in range(s, e):
+                if not left[i - s]:
+                    continue
+                w = np.maximum(0, np.minimum(b[i, 2], b[s:e, 2]) - np.maximum(b[i, 0], b[s:e, 0]))
+                h = np.maximum(0, np.minimum(b[i, 3], b[s:e, 3]) - np.maximum(b[i, 1], b[s:e, 1]))
+                same = left & ((overlaps(b[i], b[s:e]) >= 0.45) | (w * h / np.minimum(area[s:e], area[i]) >= 0.7))
+                same[i - s] = True
+                left &= ~same
+                at = s + np.flatnonzero(same)
+                _, first = np.unique(passes_of[at], return_index=True)  # the surest box of each pass
+                rows.append((i, len(first), round(float(votes_of[at[np.sort(first)]].sum()) / passes, 5)))
+        at = [r[0] for r in rows]
+        out = g.iloc[at][[*keys, "taxon", *BOX]].rename(columns={"taxon": "label"}).assign(votes=[r[1] for r in rows], confidence=[r[2] for r in rows])
+        return out[[*keys, "label", "votes", "confidence", *BOX]].astype({c: float for c in BOX})
+
+    return stream_groups(boxes, keys, [F.desc("confidence"), "ord"], work, schema)
 
 
 def distinct_individuals(sightings: DataFrame, keys: list[str], min_iou: float = 0.3) -> DataFrame:
     """Rows that no more confident row of their slice overlaps by `min_iou` or more."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sightings.schema)
 
-    def one(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["confidence", "ord"], ascending=[False, True], kind="stable")
+    def work(g: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
         b, kept = g[BOX].to_numpy(float), []
-        for i in range(len(g)):
-            if not kept or overlaps(b[i], b[kept]).max() < min_iou:
-                kept.append(i)
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            mine: list[int] = []
+            for i in range(s, e):
+                if not mine or overlaps(b[i], b[mine]).max() < min_iou:
+                    mine.append(i)
+            kept += mine
         return g.iloc[kept]
 
-    return sightings.groupBy(*keys).applyInPandas(one, schema)
+    return stream_groups(sightings, keys, [F.desc("confidence"), "ord"], work, schema)
 
 
 # --- scores -----------------------------------------------------------------------------------
