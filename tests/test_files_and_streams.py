@@ -34,8 +34,8 @@ def test_replace_keeps_the_old_result_when_a_write_fails(spark, tmp_path):
     with pytest.raises(Exception):
         sinks.replace(spark.range(3).select(F.raise_error(F.lit("no"))), path)
     assert spark.read.parquet(path).count() == 3
-    sinks.write_meta(spark, path, {"pp_project_name": "p"})
-    assert sinks.read_meta(spark, path) == {"pp_project_name": "p"} and sinks.read_meta(spark, f"{tmp_path}/none") == {}
+    sinks.write_meta(spark, path, {"project_name": "p"})
+    assert sinks.read_meta(spark, path) == {"project_name": "p"} and sinks.read_meta(spark, f"{tmp_path}/none") == {}
 
 
 def test_identify_twice_changes_nothing_and_clips_inherit(spark):
