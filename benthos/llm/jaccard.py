@@ -1,0 +1,137 @@
+"""Near-duplicates by the exact Jaccard similarity of whole texts' shingle sets.
+
+1. Each text is its set of SIZE-word shingles (64-bit hashes); texts of one set are one class.
+2. Every class has BANDS keys of ROWS minhashes each.  A pair at exactly LEAST shares no key with
+   probability (1 - LEAST ** ROWS) ** BANDS = 1.3e-7, and less above; nothing else is left out.
+3. Members of a key are verified against its least class first (linear in the key's size), then all
+   pairs of a key that these links left in different components, in blocks (see units).
+4. A link is an exact Jaccard similarity of LEAST at least, counted on both sets.
+5. Components by star contraction.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .base import BROADCAST_IDS, Stored, ship, stored
+from .components import components
+from .units import block_pairs, solve, units
+
+SIZE, BANDS, ROWS, BLOCK = 5, 40, 5, 1024
+#: Least similarity of a link, as a fraction.
+LEAST = (4, 5)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_A = np.random.default_rng(5).integers(0, 1 << 31, BANDS * ROWS, np.uint32) * np.uint32(2) + np.uint32(1)
+_B = np.random.default_rng(6).integers(0, 1 << 32, BANDS * ROWS, np.uint32)
+
+
+def _fold(h: np.ndarray, more: np.ndarray) -> np.ndarray:
+    h = (h ^ more) * _MIX
+    return h ^ (h >> np.uint64(32))
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """Distinct shingle hashes, ascending; a shorter text is one shingle, a wordless one has none."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    w = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    k = min(SIZE, len(w))
+    h = np.full(len(w) - k + 1, k, np.uint64)
+    for i in range(k):
+        h = _fold(h, w[i : i + len(h)])
+    return np.unique(h)
+
+
+def class_of(s: np.ndarray) -> int:
+    """Signed 64-bit hash of a set."""
+    return int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).view(np.int64))
+
+
+def bands(s: np.ndarray) -> np.ndarray:
+    """Keys of a set; none for the empty one, which has no near copies but itself."""
+    if not len(s):
+        return np.zeros(0, np.int64)
+    x, low = (s >> np.uint64(32)).astype(np.uint32), None
+    for c in range(0, len(x), 8192):
+        m = (x[None, c : c + 8192] * _A[:, None] + _B[:, None]).min(1)
+        low = m if low is None else np.minimum(low, m)
+    low, key = low.reshape(BANDS, ROWS).astype(np.uint64), np.arange(1, BANDS + 1, dtype=np.uint64)
+    for i in range(ROWS):
+        key = _fold(key, low[:, i])
+    return key.view(np.int64)
+
+
+def _prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        sets = [shingles(t) for t in b["text"]]
+        yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "cls": [class_of(s) for s in sets], "n": [len(s) for s in sets], "keys": [bands(s) for s in sets]})
+
+
+def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        sets = [shingles(t) for t in b["text"]]
+        yield pd.DataFrame({"cls": [class_of(s) for s in sets], "s": [s.view(np.int64) for s in sets]})
+
+
+def _long_enough(a: Column, b: Column) -> Column:
+    return F.least(a, b) * LEAST[1] >= F.greatest(a, b) * LEAST[0]
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough."""
+    x, y = sets.toDF("a", "x"), sets.toDF("b", "y")
+    both = F.size(F.array_intersect("x", "y"))
+    return pairs.join(x, "a").join(y, "b").where(both * LEAST[1] >= (F.size("x") + F.size("y") - both) * LEAST[0]).select("a", "b")
+
+
+def _across(g: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame | None:
+    """Pairs of a unit that lie in different components and may be similar enough by their sizes."""
+    cls, n, comp, home, blk, left, right = (g[c].to_numpy() for c in ("cls", "n", "comp", "home", "blk", "l", "r"))
+    out = []
+    for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+        k, m, c = cls[s:e], n[s:e], comp[s:e]
+        for h, o in block_pairs(home[s:e], blk[s:e], left[s], right[s], BLOCK):
+            near = np.minimum(m[h, None], m[None, o]) * LEAST[1] >= np.maximum(m[h, None], m[None, o]) * LEAST[0]
+            i, j = np.nonzero(near & (c[h, None] != c[None, o]) & (k[h, None] < k[None, o]))
+            out.append(pd.DataFrame({"a": k[h[i]], "b": k[o[j]]}))
+    return pd.concat(out).drop_duplicates() if out else None
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, cls, component_id) of every row; component_id is the least doc_id of the group.
+
+    Null and wordless texts are one class; repeated rows come back as often as they went in; a null
+    doc_id comes back with the component of its class; an empty table gives an empty result.
+    """
+    ship(docs.sparkSession)
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    prints = Stored(src.mapInPandas(_prints, "doc_id long, cls long, n long, keys array<long>"), "jac").read()
+    reps = stored(prints.groupBy("cls").agg(F.min("doc_id").alias("rep")), "jacreps")
+
+    placed = prints.select("cls", "n", F.explode("keys").alias("key"))
+    crowded = placed.groupBy("key").agg(F.min("cls").alias("least"), F.max("cls").alias("most"), F.min(F.struct("cls", "n"))["n"].alias("n0")).where("least < most").drop("most")
+    members = stored(placed.join(crowded, "key").distinct(), "jackeys")
+    wanted = stored(members.select("cls").distinct(), "jacwant")
+    ids = stored(wanted.join(reps, "cls").select(F.col("rep").alias("_id")).distinct(), "jacids")
+    texts = src.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    sets = stored(texts.mapInPandas(_sets, "cls long, s array<long>").join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "jacsets")
+
+    star = stored(members.where((F.col("cls") != F.col("least")) & _long_enough(F.col("n"), F.col("n0"))).select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct(), "jacstar")
+    linked = stored(_verified(star, sets), "jaclinks")
+    comp = components(linked, "jaccc")
+    now = members.select("key", "cls", "n").join(comp, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", F.coalesce("component", "cls").alias("comp"), F.lit(True).alias("home"))
+    split = now.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
+    rest = stored(solve(units(now.join(split, "key", "left_semi"), ["key"], "cls", BLOCK), ["key"], _across, "a long, b long").distinct().join(star, ["a", "b"], "left_anti"), "jacrest")
+    comp = stored(components(linked.union(_verified(rest, sets)), "jaccc"), "jaccomp")
+
+    least = comp.join(reps, F.col("node") == F.col("cls")).groupBy("component").agg(F.min("rep").alias("least"))
+    group = comp.join(least, "component").select("node", "least")
+    of = reps.join(group, F.col("cls") == F.col("node"), "left").select(F.col("cls").alias("c"), F.coalesce("least", "rep").alias("component_id"))
+    return prints.select("doc_id", "cls").join(of, F.col("cls") == F.col("c"), "left").select("doc_id", "cls", "component_id")

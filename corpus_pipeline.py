@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benthos.llm import decontam, packing, pii, simhash, toxicity
+from benthos.llm import decontam, jaccard, packing, pii, toxicity
 from benthos.llm.base import Stored, stored, table, without
 
 
@@ -19,8 +19,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the least doc_id, and once if its id is repeated."""
-    found = stored(simhash.near_duplicates(docs), "dedup")
+    """One document of each group (five-word Jaccard similarity of 0.8 at least) stays, the one with the least doc_id, and once if its id is repeated."""
+    found = stored(jaccard.near_duplicates(docs), "dedup")
     left = without(docs, found.where("doc_id <> component_id").select("doc_id"))
     again = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
     if again.isEmpty():
