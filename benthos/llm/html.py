@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .base import Stored, ship
 
-#: Winning paths kept for a host, containers that vote on a page, and hosts that may be broadcast.
-PATHS, VOTERS, BROADCAST_HOSTS = 8, 4, 50_000
+#: Host paths, or pages that their host outvotes, that may be broadcast: about 100 bytes each.
+BROADCAST_PATHS = 200_000
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -247,24 +247,50 @@ def text_of(page: str | None, votes: dict[str, float]) -> str:
     return "\n".join(t for t, _, _ in blocks(top))
 
 
-def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        votes: Counter = Counter()
-        for url, page in zip(b["url"], b["html"], strict=True):
+        rows = []
+        for key, url, page in zip(b["key"], b["url"], b["html"], strict=True):
             host = host_of(url)
-            boxes = containers(parse(page or ""))[:VOTERS] if host else []
-            for x in boxes:
+            boxes = containers(parse(page or "")) if host else []
+            first: dict[str, tuple] = {}
+            for i, x in enumerate(boxes):
                 if x.score > 0:
-                    votes[host, x.path()] += x.score / boxes[0].score
-        yield pd.DataFrame([(h, p, v) for (h, p), v in votes.items()], columns=["host", "path", "votes"])
+                    first.setdefault(path := x.path(), (key, host, path, x.score / boxes[0].score, i))
+            rows += first.values()
+        yield pd.DataFrame(rows, columns=["key", "host", "path", "share", "at"])
 
 
-def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, paths array<struct<votes, path>>): the winning generalised paths of each host."""
+def candidates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(key, host, path, share, at): the best container of each path of every page that has a host; key is a hash of url and page."""
     ship(pages.sparkSession)
     src = pages.select(F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    total = src.mapInPandas(_votes, "host string, path string, votes double").groupBy("host", "path").agg(F.round(F.sum("votes"), 6).alias("votes"))
-    return total.groupBy("host").agg(F.slice(F.sort_array(F.collect_list(F.struct("votes", "path")), asc=False), 1, PATHS).alias("paths"))
+    return src.withColumn("key", F.xxhash64("url", "html")).mapInPandas(_candidates, "key long, host string, path string, share double, at int")
+
+
+def host_votes(boxes: DataFrame) -> DataFrame:
+    """(host, path, votes) of all paths of each host.
+
+    Votes are the mean share over the pages that have the path, with one page of share 0 added: a path
+    of few templates isn't outvoted by what all pages share, nor a path of many by that of one page.
+    """
+    return boxes.groupBy("host", "path").agg(F.round(F.sum("share") / (F.count("share") + 1), 6).alias("votes"))
+
+
+def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, paths array<struct<votes, path>>): the generalised paths of each host, winners first."""
+    return host_votes(candidates(pages, url_col, html_col)).groupBy("host").agg(F.sort_array(F.collect_list(F.struct("votes", "path")), asc=False).alias("paths"))
+
+
+def _few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_PATHS else df
+
+
+def outvoted(boxes: DataFrame) -> DataFrame:
+    """(key, path) of the pages whose host's votes choose another container than the page's own best."""
+    votes = Stored(host_votes(boxes), "votes").read()
+    best = boxes.join(_few(votes), ["host", "path"]).groupBy("key").agg(F.max(F.struct("votes", (-F.col("at")).alias("at"), "path")).alias("best"))
+    return best.where("best.at < 0").select(F.col("key").alias("_key"), "best.path")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -274,15 +300,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     has no host stands for itself; repeated rows vote as often as they occur and come back as often.
     """
     ship(pages.sparkSession)
-    wins = Stored(host_paths(pages, url_col, html_col), "hosts").read()
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("_h"))
-    small = wins.select("host", "paths")
-    joined = src.join(F.broadcast(small) if wins.count() <= BROADCAST_HOSTS else small, F.col("_h") == F.col("host"), "left").select("page_id", "url", "html", "paths")
+    other = Stored(outvoted(Stored(candidates(pages, url_col, html_col), "boxes").read()), "outvoted").read()
+    src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    joined = src.join(_few(other), F.xxhash64("url", "html") == F.col("_key"), "left").select("page_id", "url", "html", "path")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = [text_of(h, {w["path"]: w["votes"] for w in p} if p is not None else {}) for h, p in zip(b["html"], b["paths"], strict=True)]
+            texts = [text_of(h, {p: 1.0} if p is not None else {}) for h, p in zip(b["html"], b["path"], strict=True)]
             yield b[["page_id", "url"]].assign(text=texts)
 
     kind = src.schema["page_id"].dataType.simpleString()

@@ -51,3 +51,14 @@ def test_hosts_vote_for_their_path(spark):
 
 def test_empty(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_all_paths_of_a_host_vote(spark):
+    # 30 body variants on one host: the short article of each is outvoted on its page alone.
+    long, short = "the article text " * 8, "the short article"
+    other = "<div class='box'><p>" + "a long box of something else " * 9 + "</p></div>"
+    page = lambda i, t, more: f"<body class='kind-{chr(97 + i)}{chr(97 + i)}'><div class='story'><p>{t}</p></div>{more}</body>"
+    rows = [(100 * i + k, "http://one.example/x", page(i, long, "<div class='box'><p>short</p></div>")) for i in range(26) for k in range(4)]
+    rows += [(100 * i + 50, "http://one.example/y", page(i, short, other)) for i in range(26)]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[100 * i + 50] for i in range(26)] == [short] * 26
