@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -62,18 +62,23 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return Stored(df, tag).read()
 
 
-#: Ids that may be broadcast: 8 bytes each.
+#: Rows' keys that may be broadcast: 16 bytes each.
 BROADCAST_IDS = 2_000_000
 
 
-def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs less the rows whose id is in the one column of `gone`; rows with a null id stay.
+def text_hash(text_col: str = "text") -> Column:
+    """With the id, what a decision about a row is keyed by: rows may share an id, or have none."""
+    return F.xxhash64(F.col(text_col).cast("string"))
 
-    The ids are broadcast while they are few (counted first), so texts stay where they are; beyond
+
+def keyed(docs: DataFrame, keys: DataFrame, how: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs joined (left_anti, left_semi) to keys (id, text hash); a null id equals a null id.
+
+    The keys are broadcast while they are few (counted first), so texts stay where they are; beyond
     that the join shuffles.
     """
-    ids = stored(gone.toDF("__gone").where("__gone is not null").distinct(), "gone")
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, F.col(id_col) == F.col("__gone"), "left_anti")
+    k = stored(keys.toDF("__id", "__hash").distinct(), "keys")
+    return docs.join(F.broadcast(k) if k.count() <= BROADCAST_IDS else k, F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash(text_col) == F.col("__hash")), how)
 
 
 @atexit.register

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import Stored, stored
+from .base import Stored, stored, text_hash
 
 GRAM, WINDOW = 5, 6
 SPAN = GRAM + WINDOW - 1
@@ -114,7 +114,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     that share a doc_id but not a text keep their own results; null ids are carried; a null item_id
     counts as an item under the name "null"; empty tables on either side give no hits.
     """
-    src = docs.select(F.col(id_col).alias("_d"), F.col(text_col).cast("string").alias("_t")).withColumn("_k", F.xxhash64("_t"))
+    return of_rows(docs, items, id_col, text_col, item_col, item_text).drop("text_hash")
+
+
+def of_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """contamination with the hash of each row's text (base.text_hash) as text_hash."""
+    src = docs.select(F.col(id_col).alias("_d"), F.col(text_col).cast("string").alias("_t")).withColumn("_k", text_hash("_t"))
     bench = items.select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text).cast("string").alias("text")).fillna("null", ["item_id"])
     windows = stored(benchmark_windows(bench), "windows")
     found = Stored(hits(src, bench, windows, "_t"), "hits").read()
@@ -125,4 +130,4 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     base = src.select("_d", "_k", F.size(words(F.col("_t"))).cast("long").alias("n_words"))
     out = base.join(both, base["_d"].eqNullSafe(both["d"]) & (base["_k"] == both["k"]), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return out.select(F.col("_d").alias(id_col), "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"))
+    return out.select(F.col("_d").alias(id_col), F.col("_k").alias("text_hash"), "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import BROADCAST_IDS, Stored, ship, stored
+from .base import BROADCAST_IDS, Stored, ship, stored, text_hash
 from .components import components
 from .units import block_pairs, solve, units
 
@@ -30,6 +30,10 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _A = np.random.default_rng(5).integers(0, 1 << 31, BANDS * ROWS, np.uint32) * np.uint32(2) + np.uint32(1)
 _B = np.random.default_rng(6).integers(0, 1 << 32, BANDS * ROWS, np.uint32)
 
+#: Shingles handled at once, and room for their minhashes: without new arrays a worker's memory stays flat.
+STEP = 512
+_ROOM = np.empty((BANDS * ROWS, STEP), np.uint32)
+
 
 def _fold(h: np.ndarray, more: np.ndarray) -> np.ndarray:
     h = (h ^ more) * _MIX
@@ -58,24 +62,34 @@ def bands(s: np.ndarray) -> np.ndarray:
     """Keys of a set; none for the empty one, which has no near copies but itself."""
     if not len(s):
         return np.zeros(0, np.int64)
-    x, low = (s >> np.uint64(32)).astype(np.uint32), None
-    for c in range(0, len(x), 8192):
-        m = (x[None, c : c + 8192] * _A[:, None] + _B[:, None]).min(1)
-        low = m if low is None else np.minimum(low, m)
+    x, low = (s >> np.uint64(32)).astype(np.uint32), np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    for c in range(0, len(x), STEP):
+        part = x[None, c : c + STEP]
+        m = _ROOM[:, : part.shape[1]]
+        np.multiply(part, _A[:, None], out=m)
+        np.add(m, _B[:, None], out=m)
+        np.minimum(low, m.min(1), out=low)
     low, key = low.reshape(BANDS, ROWS).astype(np.uint64), np.arange(1, BANDS + 1, dtype=np.uint64)
     for i in range(ROWS):
         key = _fold(key, low[:, i])
     return key.view(np.int64)
 
 
-def _prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        sets = [shingles(t) for t in b["text"]]
-        yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "cls": [class_of(s) for s in sets], "n": [len(s) for s in sets], "keys": [bands(s) for s in sets]})
+        for i in range(0, len(b), 1000):
+            yield b.iloc[i : i + 1000]
+
+
+def _prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in _slices(batches):
+        rows = [(class_of(s), len(s), bands(s)) for s in map(shingles, b["text"])]
+        cls, n, keys = zip(*rows, strict=True)
+        yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64").array, "text_hash": b["text_hash"].array, "cls": cls, "n": n, "keys": keys})
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
+    for b in _slices(batches):
         sets = [shingles(t) for t in b["text"]]
         yield pd.DataFrame({"cls": [class_of(s) for s in sets], "s": [s.view(np.int64) for s in sets]})
 
@@ -105,14 +119,14 @@ def _across(g: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame | None:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, cls, component_id) of every row; component_id is the least doc_id of the group.
+    """(doc_id, text_hash, group_id, component_id) of every row; component_id is the least doc_id of the group.
 
     Null and wordless texts are one class; repeated rows come back as often as they went in; a null
     doc_id comes back with the component of its class; an empty table gives an empty result.
     """
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    prints = Stored(src.mapInPandas(_prints, "doc_id long, cls long, n long, keys array<long>"), "jac").read()
+    prints = Stored(src.withColumn("text_hash", text_hash("text")).mapInPandas(_prints, "doc_id long, text_hash long, cls long, n long, keys array<long>"), "jac").read()
     reps = stored(prints.groupBy("cls").agg(F.min("doc_id").alias("rep")), "jacreps")
 
     placed = prints.select("cls", "n", F.explode("keys").alias("key"))
@@ -132,6 +146,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = stored(components(linked.union(_verified(rest, sets)), "jaccc"), "jaccomp")
 
     least = comp.join(reps, F.col("node") == F.col("cls")).groupBy("component").agg(F.min("rep").alias("least"))
-    group = comp.join(least, "component").select("node", "least")
-    of = reps.join(group, F.col("cls") == F.col("node"), "left").select(F.col("cls").alias("c"), F.coalesce("least", "rep").alias("component_id"))
-    return prints.select("doc_id", "cls").join(of, F.col("cls") == F.col("c"), "left").select("doc_id", "cls", "component_id")
+    group = comp.join(least, "component").select("node", "component", "least")
+    of = reps.join(group, F.col("cls") == F.col("node"), "left").select(F.col("cls").alias("c"), F.coalesce("component", "cls").alias("group_id"), F.coalesce("least", "rep").alias("component_id"))
+    return prints.select("doc_id", "text_hash", "cls").join(of, F.col("cls") == F.col("c"), "left").select("doc_id", "text_hash", "group_id", "component_id")

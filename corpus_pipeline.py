@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from benthos.llm import decontam, jaccard, packing, pii, toxicity
-from benthos.llm.base import Stored, stored, table, without
+from benthos.llm.base import Stored, keyed, stored, table, text_hash
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,20 +19,24 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group (five-word Jaccard similarity of 0.8 at least) stays, the one with the least doc_id, and once if its id is repeated."""
+    """One row of each group (five-word Jaccard similarity of 0.8 at least) stays: the least doc_id, null last."""
+    key = ["doc_id", "text_hash"]
     found = stored(jaccard.near_duplicates(docs), "dedup")
-    left = without(docs, found.where("doc_id <> component_id").select("doc_id"))
-    again = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
+    rows = stored(found.groupBy("group_id", *key).count(), "deduprows")
+    kept = stored(rows.groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), *key, "count")).alias("k")).select("k.doc_id", "k.text_hash", "k.count"), "dedupkept")
+    k = kept.toDF("_id", "_hash", "_n")
+    left = keyed(docs, rows.join(k, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left_anti").select(*key), "left_anti")
+    again = kept.where("count > 1").select(*key)
     if again.isEmpty():
         return left
-    twice = left.join(again.withColumnRenamed("doc_id", "__again"), F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id"])
-    return without(left, again).unionByName(twice)
+    twice = keyed(left, again, "left_semi").withColumn("__key", text_hash()).dropDuplicates(["doc_id", "__key"]).drop("__key")
+    return keyed(left, again, "left_anti").unionByName(twice)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, found.where("contaminated").select("doc_id"))
+    found = decontam.of_rows(docs, table(spark, sf_dir, "benchmark"))
+    return keyed(docs, found.where("contaminated").select("doc_id", "text_hash"), "left_anti")
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,3 +81,17 @@ def test_run_and_empty(spark, tables, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{sf}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{t}.parquet")
     assert cp.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_decisions_are_of_rows_not_of_ids(spark, tmp_path):
+    rng = random.Random(3)
+    a, b, c, d, item = (" ".join(f"w{rng.randrange(9999)}" for _ in range(40)) for _ in range(5))
+    schema = "doc_id long, text string"
+    # 5 leads its own group and is a copy in another; 7 has two texts; a null id repeats a text.
+    docs = spark.createDataFrame([(5, a), (6, a), (4, b), (5, b), (7, c), (7, d), (7, c), (None, a), (None, item), (None, item)], schema)
+    one = cp.near_dedup(spark, docs, "")
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in one.collect()))) == sorted(map(repr, [(5, a), (4, b), (7, c), (7, d), (None, item)]))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, a), (1, f"{b} {item}"), (None, item), (None, c)], schema)
+    two = cp.decontaminate(spark, docs, str(tmp_path))
+    assert sorted(r["text"] for r in two.collect()) == sorted([a, c])
