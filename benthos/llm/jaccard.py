@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import BROADCAST_IDS, Stored, ship, stored, text_hash
@@ -24,6 +24,8 @@ from .components import components
 from .units import block_pairs, solve, units
 
 SIZE, BANDS, ROWS, BLOCK = 5, 40, 5, 1024
+#: Crowded keys that may be broadcast: 16 bytes each.
+BROADCAST_KEYS = 500_000
 #: Least similarity of a link, as a fraction.
 LEAST = (4, 5)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -94,10 +96,6 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"cls": [class_of(s) for s in sets], "s": [s.view(np.int64) for s in sets]})
 
 
-def _long_enough(a: Column, b: Column) -> Column:
-    return F.least(a, b) * LEAST[1] >= F.greatest(a, b) * LEAST[0]
-
-
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
     x, y = sets.toDF("a", "x"), sets.toDF("b", "y")
@@ -130,14 +128,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = stored(prints.groupBy("cls").agg(F.min("doc_id").alias("rep")), "jacreps")
 
     placed = prints.select("cls", "n", F.explode("keys").alias("key"))
-    crowded = placed.groupBy("key").agg(F.min("cls").alias("least"), F.max("cls").alias("most"), F.min(F.struct("cls", "n"))["n"].alias("n0")).where("least < most").drop("most")
-    members = stored(placed.join(crowded, "key").distinct(), "jackeys")
+    crowded = stored(placed.groupBy("key").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").drop("most"), "jaccrowded")
+    members = stored(placed.join(F.broadcast(crowded) if crowded.count() <= BROADCAST_KEYS else crowded, "key").distinct(), "jackeys")
     wanted = stored(members.select("cls").distinct(), "jacwant")
     ids = stored(wanted.join(reps, "cls").select(F.col("rep").alias("_id")).distinct(), "jacids")
     texts = src.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     sets = stored(texts.mapInPandas(_sets, "cls long, s array<long>").join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "jacsets")
 
-    star = stored(members.where((F.col("cls") != F.col("least")) & _long_enough(F.col("n"), F.col("n0"))).select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct(), "jacstar")
+    star = stored(members.where(F.col("cls") != F.col("least")).select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct(), "jacstar")
     linked = stored(_verified(star, sets), "jaclinks")
     comp = components(linked, "jaccc")
     now = members.select("key", "cls", "n").join(comp, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", F.coalesce("component", "cls").alias("comp"), F.lit(True).alias("home"))
