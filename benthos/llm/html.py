@@ -35,7 +35,7 @@ CONTAINER = frozenset("article body center div main section td".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 # What is not main text.
-DROP_TAG = frozenset("nav footer aside form script style noscript template button select textarea title head iframe object embed svg math canvas audio video dialog menu input label fieldset search".split())
+DROP_TAG = frozenset("nav footer aside form script style noscript template button select textarea title head iframe object embed canvas audio video dialog menu input annotation annotation-xml search".split())
 DROP_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form status".split())
 DROP_CLASS = re.compile(r"(?:^|[\s_-])(?:ads?|adbox|adslot|adverts?|advertis\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notifications?|sidebar\w*|side|menu\w*|nav\w*|breadcrumbs?|footer\w*|header\w*|masthead|topbar|comments?\w*|commentlist|disqus\w*|respond|repl(?:y|ies)|discussion|share\w*|sharing|social\w*|related\w*|recommend\w*|popup|modal|overlay|newsletter\w*|subscri\w*|signup|sign-up|login|widget\w*|toolbar|pagination|pager|skip\w*|alert\w*|disclaimer|taboola|outbrain)(?:[\s_-]|$)", re.I)
 GOOD_CLASS = re.compile(r"(?:^|[\s_-])(?:article\w*|content|post\w*|entry\w*|story\w*|main\w*|text|body)(?:[\s_-]|$)", re.I)

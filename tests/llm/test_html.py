@@ -62,3 +62,8 @@ def test_all_paths_of_a_host_vote(spark):
     rows += [(100 * i + 50, "http://one.example/y", page(i, short, other)) for i in range(26)]
     got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert [got[100 * i + 50] for i in range(26)] == [short] * 26
+
+
+def test_formulas_and_labels_are_text():
+    page = "<article><p>So <math><mi>x</mi><annotation>x</annotation></math> and <svg><title>t</title><text>drawn</text></svg> hold for a <label>name</label>.</p><form><label>no</label></form></article>"
+    assert text(page) == "So x and drawn hold for a name."
