@@ -6,7 +6,8 @@ points; probes are the next nearest pairs among each block's three nearest point
 meet in a table if the home cell of one is among the cells of the other.  All blocks of a rotation
 together hold the whole distance, so some block of close vectors is always close.
 
-Equal vectors are one class with a weight.  Cells of one row are left out before any vector moves.
+Equal vectors are one class with a weight and a number of its own (ids may be null or shared by
+different vectors).  Cells of one row are left out before any vector moves.
 A pair that meets in several tables or cells counts in the first only (recomputed from the codes of
 the linked rows), so link counts are exact sums and no pair is ever emitted: a unit returns a count
 for each row and a spanning forest.
@@ -134,12 +135,13 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
 
     Null, empty and zero vectors and those with null or non-finite components link with nothing;
     vectors of different lengths never link; repeated rows link like any equal vectors; a null
-    vec_id comes back with a null component; an empty table gives an empty result.
+    vec_id comes back with a null component, though its vector links like any other; rows that share a
+    vec_id but not a vector are vectors of their own; an empty table gives an empty result.
     """
     ship(df.sparkSession)
     made, kind = vectors(df, id_col, vec_col)
     rows = Stored(made, "vec").read()
-    classes = stored(rows.where("body is not null").groupBy("body").agg(F.min("vec_id").alias("rep"), F.count("*").alias("w")).where("rep is not null"), "vecclass")
+    classes = stored(rows.where("body is not null").groupBy("body").agg(F.min("vec_id").alias("least"), F.count("*").alias("w")).withColumn("rep", F.monotonically_increasing_id()), "vecclass")
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         turns: dict[int, list] = {}
@@ -164,7 +166,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
             unit[at, :dim] = x / np.linalg.norm(x, axis=1, keepdims=True)
         i, j, of = [], [], []
         for u, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            for h, o in block_pairs(home[s:e], blk[s:e], left[s], right[s], BLOCK):
+            for h, o in block_pairs(home[s:e], blk[s:e], left[s], right[s], BLOCK * BLOCK):
                 x, y = np.nonzero(unit[s + h] @ unit[s + o].T >= cosine)
                 x, y = s + h[x], s + o[y]
                 keep = (rep[x] != rep[y]) & (~home[y] | (rep[x] < rep[y])) & (size[x] == size[y])
@@ -203,8 +205,10 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     found = Stored(solve(full, keys, work, "a long, b long, n long"), "veclinks").read()
     links = found.groupBy("a").agg(F.sum("n").alias("links"))
     comp = components(found.where("a <> b").select("a", "b"), "veccc")
-    of = classes.join(links, classes["rep"] == links["a"], "left").join(comp, classes["rep"] == comp["node"], "left")
-    of = of.select(F.col("body").alias("k"), (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    of = classes.join(links, classes["rep"] == links["a"], "left").join(comp, classes["rep"] == comp["node"], "left").drop("a", "node")
+    first = of.where("component is not null").groupBy("component").agg(F.min("least").alias("first")).withColumnRenamed("component", "c")
+    of = of.join(first, F.col("component") == F.col("c"), "left")
+    of = of.select(F.col("body").alias("k"), (F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("first", "least").alias("component_id"))
     out = rows.join(of, rows["body"] == of["k"], "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("vec_id").isNotNull(), component).alias("component_id"), (F.col("vec_id") == component).alias("kept"))

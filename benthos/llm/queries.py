@@ -82,4 +82,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontam": op10_decontam,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_lattice": """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), ok AS (
+  SELECT r, e FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.r AS x, b.r AS y FROM ok a JOIN ok b ON a.r <> b.r AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT r AS x, r AS y FROM v UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), comp AS (SELECT reach.x AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.y GROUP BY 1
+), n AS (SELECT x AS r, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, CASE WHEN vec_id IS NOT NULL THEN component_id END AS component_id, vec_id = component_id AS kept
+FROM v JOIN comp USING (r) LEFT JOIN n USING (r)
+""",
+}

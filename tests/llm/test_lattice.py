@@ -73,3 +73,27 @@ def test_empty_null_ids_and_doubles(spark):
     assert lattice.near_duplicates(frame(spark, [])).count() == 0
     d = spark.createDataFrame([(None, [1.0, 2.0]), (4, [1.0, 2.0]), (4, [1.0, 2.0])], "vec_id long, embedding array<double>")
     assert sorted((tuple(r) for r in lattice.near_duplicates(d).collect()), key=str) == sorted([(4, 2, 4, True), (4, 2, 4, True), (None, 2, None, None)], key=str)
+
+
+def test_shared_and_null_ids_are_vectors_of_their_own(spark):
+    rng = np.random.default_rng(4)
+    c = rng.normal(size=64)
+    near = [(c + rng.normal(size=64) * 0.1).tolist() for _ in range(4)]
+    for ids in ((1, 1, 2), (None, 1, 2), (None, None, 3), (7, 7, 7)):
+        rows = list(zip(ids, near, strict=False)) + [(9, [1.0] + [0.0] * 63)]
+        got = [tuple(r) for r in lattice.near_duplicates(frame(spark, [(i, v, "c") for i, v in rows])).collect()]
+        least = min(i for i in ids if i is not None)
+        want = [(i, 2, least if i is not None else None, i == least if i is not None else None) for i in ids] + [(9, 0, 9, True)]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_the_twin_says_the_same(spark):
+    import duckdb
+
+    from benthos.llm import queries
+
+    con = duckdb.connect()
+    con.execute("create view embeddings as select * from '/root/testdata/sf0.001/embeddings.parquet'")
+    want = sorted(con.execute(queries.ORACLE_SQL["op9_lattice"]).fetchall())
+    got = sorted(tuple(r) for r in queries.op9_lattice(spark, "/root/testdata/sf0.001").select("vec_id", "n_links", "component_id", "kept").collect())
+    assert got == want
