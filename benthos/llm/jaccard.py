@@ -1,12 +1,17 @@
-"""Near-duplicates by the exact Jaccard similarity of whole texts' shingle sets.
+"""Near copies by five-word Jaccard similarity: SimHash finds the candidates, exact sets decide.
 
 1. Each text is its set of SIZE-word shingles (64-bit hashes); texts of one set are one class.
-2. Every class has BANDS keys of ROWS minhashes each.  A pair at exactly LEAST shares no key with
-   probability (1 - LEAST ** ROWS) ** BANDS = 1.3e-7, and less above; nothing else is left out.
-3. Members of a key are verified against its least class first (linear in the key's size), then all
-   pairs of a key that these links left in different components, in blocks (see units).
-4. A link is an exact Jaccard similarity of LEAST at least, counted on both sets.
+2. A class's fingerprint is the SimHash of its distinct FEATURE-word shingles: few words of an edit
+   touch few of them, so near copies differ in few bits.
+3. The generalised pigeonhole of `simhash` (correlated parts, thresholds by dynamic programming, probe,
+   verify) finds every pair of classes within TAU bits; pairs whose set sizes can't reach LEAST go.
+   A pair counts in the first part in which it meets, so once.
+4. Only classes that met another one are given their sets; a unit of rows takes the exact
+   similarity of all its pairs at once and returns a spanning forest of its links, never the pairs.
 5. Components by star contraction.
+
+Every link is exact.  A pair of LEAST similarity or more is missed only if its fingerprints differ in
+more than TAU bits; README has the measured share.
 """
 
 from __future__ import annotations
@@ -21,20 +26,21 @@ from pyspark.sql import functions as F
 
 from .base import BROADCAST_IDS, Stored, ship, stored, text_hash
 from .components import components
-from .units import block_pairs, solve, units
+from .simhash import fingerprint, plan, probes
+from .units import block_pairs, forest, solve, units
 
-SIZE, BANDS, ROWS, BLOCK = 5, 40, 5, 1024
-#: Crowded keys that may be broadcast: 16 bytes each.
-BROADCAST_KEYS = 500_000
+SIZE, FEATURE, TAU = 5, 2, 13
 #: Least similarity of a link, as a fraction.
 LEAST = (4, 5)
+#: Rows of one key handled together as fingerprints, and with their sets.
+BLOCK, SET_BLOCK = 65_536, 512
+#: Numbers of parts to choose from, and the cost of a probe against that of comparing two fingerprints.
+PARTS, PROBE = (4, 5, 6, 7, 8), 100.0
+#: Fingerprints compared at once: so many home rows with so many others.
+STEP, ROOM = 64, 16_384
+#: Shingles of a unit that are matched at once.
+COLUMNS = 4096
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_A = np.random.default_rng(5).integers(0, 1 << 31, BANDS * ROWS, np.uint32) * np.uint32(2) + np.uint32(1)
-_B = np.random.default_rng(6).integers(0, 1 << 32, BANDS * ROWS, np.uint32)
-
-#: Shingles handled at once, and room for their minhashes: without new arrays a worker's memory stays flat.
-STEP = 512
-_ROOM = np.empty((BANDS * ROWS, STEP), np.uint32)
 
 
 def _fold(h: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -60,23 +66,6 @@ def class_of(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).view(np.int64))
 
 
-def bands(s: np.ndarray) -> np.ndarray:
-    """Keys of a set; none for the empty one, which has no near copies but itself."""
-    if not len(s):
-        return np.zeros(0, np.int64)
-    x, low = (s >> np.uint64(32)).astype(np.uint32), np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
-    for c in range(0, len(x), STEP):
-        part = x[None, c : c + STEP]
-        m = _ROOM[:, : part.shape[1]]
-        np.multiply(part, _A[:, None], out=m)
-        np.add(m, _B[:, None], out=m)
-        np.minimum(low, m.min(1), out=low)
-    low, key = low.reshape(BANDS, ROWS).astype(np.uint64), np.arange(1, BANDS + 1, dtype=np.uint64)
-    for i in range(ROWS):
-        key = _fold(key, low[:, i])
-    return key.view(np.int64)
-
-
 def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for i in range(0, len(b), 1000):
@@ -85,35 +74,90 @@ def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in _slices(batches):
-        rows = [(class_of(s), len(s), bands(s)) for s in map(shingles, b["text"])]
-        cls, n, keys = zip(*rows, strict=True)
-        yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64").array, "text_hash": b["text_hash"].array, "cls": cls, "n": n, "keys": keys})
+        sets = [shingles(t) for t in b["text"]]
+        fps = np.fromiter((fingerprint(t, FEATURE, True) for t in b["text"]), np.uint64, len(b))
+        yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64").array, "text_hash": b["text_hash"].array, "cls": [class_of(s) for s in sets], "n": [len(s) for s in sets], "fp": fps.view(np.int64)})
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in _slices(batches):
         sets = [shingles(t) for t in b["text"]]
-        yield pd.DataFrame({"cls": [class_of(s) for s in sets], "s": [s.view(np.int64) for s in sets]})
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    x, y = sets.toDF("a", "x"), sets.toDF("b", "y")
-    both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(x, "a").join(y, "b").where(both * LEAST[1] >= (F.size("x") + F.size("y") - both) * LEAST[0]).select("a", "b")
-
-
-def _across(g: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame | None:
-    """Pairs of a unit that lie in different components and may be similar enough by their sizes."""
-    cls, n, comp, home, blk, left, right = (g[c].to_numpy() for c in ("cls", "n", "comp", "home", "blk", "l", "r"))
-    out = []
-    for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-        k, m, c = cls[s:e], n[s:e], comp[s:e]
-        for h, o in block_pairs(home[s:e], blk[s:e], left[s], right[s], BLOCK):
-            near = np.minimum(m[h, None], m[None, o]) * LEAST[1] >= np.maximum(m[h, None], m[None, o]) * LEAST[0]
-            i, j = np.nonzero(near & (c[h, None] != c[None, o]) & (k[h, None] < k[None, o]))
-            out.append(pd.DataFrame({"a": k[h[i]], "b": k[o[j]]}))
-    return pd.concat(out).drop_duplicates() if out else None
+        yield pd.DataFrame({"rep": [class_of(s) for s in sets], "s": [s.tobytes() for s in sets]})
+
+
+class Search:
+    """Which rows of a unit are candidates, for given parts and thresholds."""
+
+    def __init__(self, parts: list[list[int]], ts: list[int]):
+        self.used = [(i, np.uint64(sum(1 << b for b in part)), t) for i, (part, t) in enumerate(zip(parts, ts, strict=True)) if t >= 0]
+
+    def pairs(self, g: pd.DataFrame, s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions (from s) of the unit's pairs within TAU bits whose sizes may reach LEAST, the lesser id at home."""
+        fp, rep, n, home, blk = (g[c].to_numpy()[s:e] for c in ("fp", "rep", "n", "home", "blk"))
+        fp, part, left, right = fp.view(np.uint64), int(g["part"].iat[s]), int(g["l"].iat[s]), int(g["r"].iat[s])
+        i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for h, o in self.sized(n, home, blk, left, right):
+            x, y = np.nonzero(np.bitwise_count(fp[h, None] ^ fp[None, o]) <= TAU)
+            x, y = h[x], o[y]
+            keep = (rep[x] < rep[y]) & (np.minimum(n[x], n[y]) * LEAST[1] >= np.maximum(n[x], n[y]) * LEAST[0])
+            for p, mask, t in self.used:
+                if p < part:  # met there already
+                    keep &= np.bitwise_count((fp[x] ^ fp[y]) & mask) > t
+            i.append(x[keep])
+            j.append(y[keep])
+        return np.concatenate(i), np.concatenate(j)
+
+    @staticmethod
+    def sized(n: np.ndarray, home: np.ndarray, blk: np.ndarray, left: int, right: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Home rows in steps of like sizes, and the rows whose sizes are near enough."""
+        for h, o in block_pairs(home, blk, left, right, 1 << 40):
+            h, o = h[np.argsort(n[h], kind="stable")], o[np.argsort(n[o], kind="stable")]
+            sizes = n[o]
+            for c in range(0, len(h), STEP):
+                at = h[c : c + STEP]
+                first, last = np.searchsorted(sizes, (n[at[0]] * LEAST[0] // LEAST[1], -(-n[at[-1]] * LEAST[1] // LEAST[0]) + 1))
+                for k in range(first, last, ROOM):
+                    yield at, o[k : min(k + ROOM, last)]
+
+    def met(self, g: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame | None:
+        """The rows that are in any pair."""
+        at = [s + np.unique(np.concatenate(self.pairs(g, s, e))) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+        rows = np.concatenate(at)
+        return g.iloc[rows][["part", "key", "rep", "fp", "n", "home"]] if len(rows) else None
+
+    def linked(self, g: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame | None:
+        """A spanning forest of the links."""
+        out = []
+        rep, n = g["rep"].to_numpy(), g["n"].to_numpy()
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            i, j = self.pairs(g, s, e)
+            if not len(i):
+                continue
+            rows = np.unique(np.concatenate((i, j)))
+            both = shared([np.frombuffer(b, np.uint64) for b in g["s"].iloc[s + rows]])[np.searchsorted(rows, i), np.searchsorted(rows, j)]
+            near = both * LEAST[1] >= (n[s + i] + n[s + j] - both) * LEAST[0]
+            ids, inv = np.unique(rep[s:e], return_inverse=True)
+            a, b = forest(ids, inv[i[near]], inv[j[near]])
+            out.append(pd.DataFrame({"a": a, "b": b}))
+        return pd.concat(out, ignore_index=True) if out else None
+
+
+def shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each two sets share."""
+    all_of = np.concatenate(sets)
+    _, col, times = np.unique(all_of, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    often = times > 1
+    col, row = (np.cumsum(often) - 1)[col[often[col]]], row[often[col]]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    order = np.argsort(col, kind="stable")
+    col, row = col[order], row[order]
+    for c in range(0, int(often.sum()), COLUMNS):
+        a, b = np.searchsorted(col, (c, c + COLUMNS))
+        m = np.zeros((len(sets), COLUMNS), np.float32)
+        m[row[a:b], col[a:b] - c] = 1
+        out += (m @ m.T).astype(np.int64)  # at most COLUMNS, exact in float32
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,24 +168,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     ship(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    prints = Stored(src.withColumn("text_hash", text_hash("text")).mapInPandas(_prints, "doc_id long, text_hash long, cls long, n long, keys array<long>"), "jac").read()
-    reps = stored(prints.groupBy("cls").agg(F.min("doc_id").alias("rep")), "jacreps")
-
-    placed = prints.select("cls", "n", F.explode("keys").alias("key"))
-    crowded = stored(placed.groupBy("key").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").drop("most"), "jaccrowded")
-    members = stored(placed.join(F.broadcast(crowded) if crowded.count() <= BROADCAST_KEYS else crowded, "key").distinct(), "jackeys")
-    wanted = stored(members.select("cls").distinct(), "jacwant")
-    ids = stored(wanted.join(reps, "cls").select(F.col("rep").alias("_id")).distinct(), "jacids")
+    prints = Stored(src.withColumn("text_hash", text_hash("text")).mapInPandas(_prints, "doc_id long, text_hash long, cls long, n long, fp long"), "jac").read()
+    reps = stored(prints.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("fp").alias("fp")), "jacreps")
+
+    seek = reps.where("n > 0").select("fp", F.col("cls").alias("rep"), "n")
+    layout = plan(seek, TAU, PARTS, PROBE)
+    search, keys = Search(*layout), ["part", "key"]
+    rows = "part int, key long, rep long, fp long, n long, home boolean"
+    met = stored(solve(units(probes(seek, *layout), keys, "rep", BLOCK), keys, search.met, rows).distinct(), "jacmet")
+
+    wanted = stored(met.select("rep").distinct(), "jacwant")
+    ids = stored(wanted.join(reps.select("cls", F.col("rep").alias("_id")), F.col("rep") == F.col("cls")).select("_id").distinct(), "jacids")
     texts = src.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = stored(texts.mapInPandas(_sets, "cls long, s array<long>").join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "jacsets")
-
-    star = stored(members.where(F.col("cls") != F.col("least")).select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct(), "jacstar")
-    linked = stored(_verified(star, sets), "jaclinks")
-    comp = components(linked, "jaccc")
-    now = members.select("key", "cls", "n").join(comp, F.col("cls") == F.col("node"), "left").select("key", "cls", "n", F.coalesce("component", "cls").alias("comp"), F.lit(True).alias("home"))
-    split = now.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    rest = stored(solve(units(now.join(split, "key", "left_semi"), ["key"], "cls", BLOCK), ["key"], _across, "a long, b long").distinct().join(star, ["a", "b"], "left_anti"), "jacrest")
-    comp = stored(components(linked.union(_verified(rest, sets)), "jaccc"), "jaccomp")
+    sets = stored(texts.mapInPandas(_sets, "rep long, s binary").join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "jacsets")
+    linked = stored(solve(units(met, keys, "rep", SET_BLOCK).join(sets, "rep"), keys, search.linked, "a long, b long"), "jaclinks")
+    comp = stored(components(linked, "jaccc"), "jaccomp")
 
     least = comp.join(reps, F.col("node") == F.col("cls")).groupBy("component").agg(F.min("rep").alias("least"))
     group = comp.join(least, "component").select("node", "component", "least")

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,8 +32,8 @@ BITS = 64
 BLOCK = 1024
 
 
-def fingerprint(text: str | None, size: int = 3) -> int:
-    """Unsigned 64-bit SimHash of a whole text; 0 if it has no words."""
+def fingerprint(text: str | None, size: int = 3, distinct: bool = False) -> int:
+    """Unsigned 64-bit SimHash of a whole text's shingles (repeats included, or `distinct`); 0 if it has no words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0
@@ -43,7 +44,7 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     stops = ends[min(size, len(words)) - 1 :].tolist()
     hashed = xxhash.xxh64_intdigest
     h = np.fromiter((hashed(joined[a:b], 42) for a, b in zip(starts, stops, strict=True)), np.uint64, n)
-    return majority(h)
+    return majority(np.unique(h) if distinct else h)
 
 
 _OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -157,7 +158,7 @@ def key_of(col, bits: list[int]):
     return out
 
 
-def plan(reps: DataFrame, tau: int, choices: tuple[int, ...] = (2, 3, 4)) -> tuple[list[list[int]], list[int]]:
+def plan(reps: DataFrame, tau: int, choices: tuple[int, ...] = (2, 3, 4), probe_cost: float = PROBE_COST) -> tuple[list[list[int]], list[int]]:
     """Parts and thresholds of least estimated cost, from statistics of all fingerprints."""
     n, gram = _gram(reps)
     p = np.diag(gram) / max(n, 1)
@@ -172,7 +173,7 @@ def plan(reps: DataFrame, tau: int, choices: tuple[int, ...] = (2, 3, 4)) -> tup
         for j, (mm, _, part) in enumerate(every):
             if mm == m:
                 at_zero = max(_within(p[part], 0), 1e-30)
-                costs.append({-1: 0.0} | {t: PROBE_COST * n * _ball(len(part), t) + pairs.get(j, 0) * _within(p[part], t) / at_zero for t in range(tau + 1)})
+                costs.append({-1: 0.0} | {t: probe_cost * n * _ball(len(part), t) + pairs.get(j, 0) * _within(p[part], t) / at_zero for t in range(tau + 1)})
         cost, ts = allocate(costs, tau - m + 1)
         if best is None or cost < best[0]:
             best = (cost, parts, ts)
@@ -185,7 +186,7 @@ def plan(reps: DataFrame, tau: int, choices: tuple[int, ...] = (2, 3, 4)) -> tup
 def link_unit(fp: np.ndarray, rep: np.ndarray, home: np.ndarray, blk: np.ndarray, left: int, right: int, tau: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of one unit's links."""
     i, j = [], []
-    for h, o in block_pairs(home, blk, left, right, BLOCK):
+    for h, o in block_pairs(home, blk, left, right):
         x, y = np.nonzero(np.bitwise_count(fp[h, None] ^ fp[None, o]) <= tau)
         x, y = h[x], o[y]
         keep = rep[x] != rep[y]
@@ -198,22 +199,22 @@ def link_unit(fp: np.ndarray, rep: np.ndarray, home: np.ndarray, blk: np.ndarray
     return forest(ids, inv[i], inv[j])
 
 
+def probes(reps: DataFrame, parts: list[list[int]], ts: list[int]) -> DataFrame:
+    """reps (fp, rep, ...) -> their rows with part and key: the own key of each used part (home) and those within its threshold."""
+    rows = []
+    for i, (part, t) in enumerate(zip(parts, ts, strict=True)):
+        if t < 0:
+            continue
+        own = reps.select(F.lit(i).alias("part"), "*", key_of(F.col("fp"), part).alias("key"))
+        masks = [sum(1 << b for b in c) for k in range(t + 1) for c in itertools.combinations(range(len(part)), k)]
+        mask = F.explode(F.array(*[F.lit(v).cast("long") for v in masks])).alias("mask")
+        rows.append(own.select("*", mask).withColumn("key", F.col("key").bitwiseXOR(F.col("mask"))).withColumn("home", F.col("mask") == 0).drop("mask"))
+    return reduce(DataFrame.union, rows)
+
+
 def links(reps: DataFrame, tau: int = 3) -> DataFrame:
     """reps (fp, rep), fp distinct -> edges (a, b) whose components are those of all links within tau bits."""
-    parts, ts = plan(reps, tau)
-    used = [(i, part, t) for i, (part, t) in enumerate(zip(parts, ts, strict=True)) if t >= 0]
-    rows = []
-    for i, part, t in used:
-        key = key_of(F.col("fp"), part)
-        masks = [sum(1 << b for b in c) for k in range(1, t + 1) for c in itertools.combinations(range(len(part)), k)]
-        own = reps.select(F.lit(i).alias("part"), "fp", "rep", key.alias("key"))
-        rows.append(own.withColumn("home", F.lit(True)))
-        if masks:
-            mask = F.explode(F.array(*[F.lit(v).cast("long") for v in masks])).alias("mask")
-            rows.append(own.select("*", mask).select("part", "fp", "rep", F.col("key").bitwiseXOR(F.col("mask")).alias("key"), F.lit(False).alias("home")))
-    placed = rows[0]
-    for r in rows[1:]:
-        placed = placed.union(r)
+    placed = probes(reps, *plan(reps, tau))
 
     def work(g: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame | None:
         fp, rep, home, blk, left, right = (g[c].to_numpy() for c in ("fp", "rep", "home", "blk", "l", "r"))

@@ -74,9 +74,10 @@ def forest(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, n
     return ids[at], ids[lab[at]]
 
 
-def block_pairs(home: np.ndarray, blk: np.ndarray, left: int, right: int, step: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs to compare in a unit: home rows of one block (in steps) against the other block's rows."""
+def block_pairs(home: np.ndarray, blk: np.ndarray, left: int, right: int, room: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs to compare in a unit: home rows of one block against the other block's rows, `room` pairs at once."""
     for a, b in {(left, right), (right, left)}:
         h, o = np.flatnonzero(home & (blk == a)), np.flatnonzero(blk == b)
+        step = max(1, room // max(1, len(o)))
         for c in range(0, len(h), step):
             yield h[c : c + step], o

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 import corpus_pipeline as cp
 from benthos.llm import jaccard
 
@@ -57,3 +59,25 @@ def test_the_stage_drops_copies_at_0_8_and_keeps_the_rest(spark):
     far[20] = far[50] = far[80] = "x"  # 85 of 115
     d = spark.createDataFrame([(1, " ".join(w)), (2, " ".join(near)), (3, " ".join(far))], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in cp.near_dedup(spark, d, "").collect()) == [1, 3]
+
+
+def test_crowded_keys_are_split_without_losing_links(spark, monkeypatch):
+    rows = corpus()[:120]
+    want = brute(rows)
+    monkeypatch.setattr(jaccard, "BLOCK", 40)
+    monkeypatch.setattr(jaccard, "SET_BLOCK", 3)
+    monkeypatch.setattr(jaccard, "STEP", 4)
+    monkeypatch.setattr(jaccard, "ROOM", 8)
+    out = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == want
+
+
+def test_shared_counts(monkeypatch):
+    rng = random.Random(5)
+    sets = [np.unique(np.array([rng.randrange(60) for _ in range(rng.randint(1, 50))], np.uint64)) for _ in range(9)]
+    monkeypatch.setattr(jaccard, "COLUMNS", 7)
+    got = jaccard.shared(sets)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if i != j:
+                assert got[i, j] == len(set(a.tolist()) & set(b.tolist()))
