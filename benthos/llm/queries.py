@@ -38,7 +38,7 @@ def op3_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return lm.score(docs, lm.fit(docs, good))
+    return lm.score(docs, good)
 
 
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
