@@ -9,7 +9,7 @@ propagation carries their labels over both kinds of edge; a node whose marginal
 a span of its own (neighbours of one kind joined).
 
 The field is fitted by pseudo-likelihood on a bounded sample of documents (MAX_DOCS by hash order,
-MAX_NODES nodes each), in which half of the base mentions are rewritten into spellings that the
+MAX_NODES neighbouring nodes of each, from a place by hash), in which half of the base mentions are rewritten into spellings that the
 patterns miss.  Every document is scanned and inferred whole.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -81,6 +82,8 @@ _TOKEN = re.compile(r"\S+")
 _EDGE = " \t\r\n.,;:!?\"'()[]{}<>#$%&*|"
 _KEEP = "()[]"
 NEAR = 24
+#: Tokens before and after a spelled-out dot that are nodes.
+BEFORE, AFTER = 3, 2
 
 
 class Graph(NamedTuple):
@@ -92,36 +95,31 @@ class Graph(NamedTuple):
 
 
 def _tokens(text: str, base: list[Span]) -> list[tuple[int, int]]:
+    """Spans of the tokens that are nodes. One pass over the text, and one over all tokens where some are needed."""
     found: dict[int, int] = {}
+    hot = list(_HOT.finditer(text))
+    locals_ = {part for x in base if x.kind == "email" and len(part := text[x.start : x.end].partition("@")[0]) >= 6 and ("." in part or "_" in part)}
+    starts, ends = [], []
+    if locals_ or any(text[m.start()] in "dD" for m in hot):
+        for m in _TOKEN.finditer(text):
+            starts.append(m.start())
+            ends.append(m.end())
+            if m[0] in locals_:
+                found[m.start()] = m.end()
     end = 0
-    for m in _HOT.finditer(text):
+    for m in hot:
         if m.start() < end:
             continue
-        s, e = m.start(), m.end()
+        if text[m.start()] in "dD":  # the tokens around a spelled-out dot
+            k = bisect_right(starts, m.start()) - 1
+            for i in range(max(0, k - BEFORE), min(len(starts), k + AFTER + 1)):
+                if starts[i] >= end:
+                    found[starts[i]] = ends[i]
+            continue
+        s = m.start()
         while s > end and not text[s - 1].isspace():
             s -= 1
-        if text[m.start()] in "dD":  # tokens around a spelled-out dot
-            lo = s
-            for _ in range(3):
-                k = len(text[max(0, lo - 40) : lo].rstrip())
-                part = text[max(0, lo - 40) : lo].rstrip()
-                cut = max(part.rfind(" "), part.rfind("\n")) + 1
-                lo = max(0, lo - 40) + cut if k else lo
-            hi = min(len(text), e + 40)
-            for t in _TOKEN.finditer(text, max(lo, 0), hi):
-                if t.start() >= end:
-                    found[t.start()] = t.end()
-                if t.start() > m.end() + 1:
-                    break
-            continue
-        found[s] = e
-        end = e
-    for x in base:
-        if x.kind == "email":
-            local = text[x.start : x.end].partition("@")[0]
-            if len(local) >= 6 and any(c in "._" for c in local) and " " not in local:
-                for m in re.finditer(rf"(?<!\S){re.escape(local)}(?!\S)", text):
-                    found[m.start()] = m.end()
+        found[s] = end = m.end()
     out, last = [], 0
     for s, e in sorted(found.items()):
         if s >= last:
@@ -178,10 +176,8 @@ def graph(text: str, base: list[Span]) -> Graph:
     for i, (s, e) in enumerate(toks):
         while k < len(spans) and spans[k].end <= s:
             k += 1
-        for x in spans[k : k + 4]:
-            if x.start < e and s < x.end:
-                clamp[i] = 1 + KINDS.index(x.kind)
-                break
+        if k < len(spans) and spans[k].start < e:
+            clamp[i] = 1 + KINDS.index(spans[k].kind)
     edges, last = [], {}
     for i, (s, e) in enumerate(toks):
         if i and s - toks[i - 1][1] <= 3:
@@ -336,9 +332,10 @@ def fit(docs: DataFrame, text_col: str = "text", most: int = MAX_DOCS) -> Field:
             for h, t in zip(b["h"], b["text"], strict=True):
                 g = training_graph(t)
                 n = min(len(g.words), MAX_NODES)
-                e = g.edges[(g.edges[:, :2] < n).all(1)] if len(g.edges) else g.edges
+                at = h % (len(g.words) - n + 1)
+                e = g.edges[((g.edges[:, :2] >= at) & (g.edges[:, :2] < at + n)).all(1)] - [at, at, 0]
                 if n:
-                    out.append((h, g.words[:n], g.clamp[:n].tolist(), e.ravel().tolist()))
+                    out.append((h, g.words[at : at + n], g.clamp[at : at + n].tolist(), e.ravel().tolist()))
             yield pd.DataFrame(out, columns=["h", "words", "labels", "edges"])
 
     got = sample.mapInPandas(make, "h long, words array<array<string>>, labels array<long>, edges array<long>").dropDuplicates(["h"]).orderBy("h").collect()  # at most `most` rows of MAX_NODES nodes

@@ -1,7 +1,10 @@
 import hashlib
+import itertools
 import random
 import re
+import time
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -86,3 +89,50 @@ def test_rows(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find(none, pii.fit(none)).count() == 0
+
+
+def seconds(f, *args):
+    began = time.perf_counter()
+    f(*args)
+    return time.perf_counter() - began
+
+
+def test_long_texts_take_time_in_proportion():
+    field = pii.fit_field([])
+    for piece in ("first.name{0}@host{0}.example.com ", "a dot ", "12 ", "aa.bb{0}@c.de,", "+1 555 123 4567 ", "4111 1111 1111 1111 "):
+        short, long = ("".join(piece.format(i) for i in range(n)) for n in (3000, 24_000))
+        a = min(seconds(pii.masked, short, field) for _ in range(2))
+        assert seconds(pii.masked, long, field) < 8 * 3 * a + 0.5  # eight times the text; squared would be sixty-four
+
+
+def exact(phi, edges, pair, clamp):
+    """Marginals by enumeration."""
+    n, k = phi.shape
+    out = np.zeros((n, k))
+    for y in itertools.product(range(k), repeat=n):
+        if any(c and y[i] != c for i, c in enumerate(clamp)):
+            continue
+        s = sum(0.0 if clamp[i] else phi[i, a] for i, a in enumerate(y)) + sum(pair[t][y[a], y[b]] for a, b, t in edges)
+        for i, a in enumerate(y):
+            out[i, a] += np.exp(s)
+    return out / out.sum(1, keepdims=True)
+
+
+def test_marginals_against_enumeration():
+    rng = np.random.default_rng(6)
+    size = len(pii.LABELS)
+    trees = [[], [(0, 1, 0)], [(0, 1, 0), (1, 2, 0), (2, 3, 0)], [(0, 1, 0), (0, 3, 1), (3, 4, 0), (1, 2, 1)]]
+    loops = [[(0, 1, 0), (1, 2, 0), (2, 3, 0), (0, 3, 1)], [(0, 1, 0), (1, 2, 0), (0, 2, 1)]]
+    for edges, near in [(t, 2e-3) for t in trees] + [(t, 0.08) for t in loops]:
+        for clamp in ([0] * 5, [2, 0, 0, 0, 0]):
+            pair = rng.normal(size=(2, size, size)) * 0.6
+            pair = (pair + pair.transpose(0, 2, 1)) / 2
+            field = pii.Field({str(i): i for i in range(5)}, rng.normal(size=(5, size)), pair)
+            g = pii.Graph(np.arange(5), np.arange(5), [[str(i)] for i in range(5)], np.array(clamp), np.array(edges, np.int64).reshape(-1, 3))
+            assert np.abs(field.marginals(g) - exact(field.node, edges, pair, clamp)).max() < near
+
+
+def test_spelled_dots_far_from_their_words():
+    text = "x" * 90 + " at " + "y" * 80 + "  \n dot   com and"
+    spans = [text[s:e] for s, e in pii._tokens(text, [])]
+    assert spans == ["x" * 90, "at", "y" * 80, "dot", "com", "and"]
