@@ -1,7 +1,7 @@
 """Main-text extraction by consensus host paths.
 
 Pass 1 parses every page, scores its containers and lets them vote, by their generalised tag-class
-path, within their host.  Votes are added up in Spark.  Pass 2 parses again and takes, of the page's
+path (kept as a 64-bit hash), within their host.  Votes are added up in Spark.  Pass 2 parses again and takes, of the page's
 containers, the one whose path has most votes on its host (the page's own best where no path is
 known).  Menus, headers, footers, sidebars, notices, adverts, forms, scripts and comments are left
 out of the chosen container by tag, role and class.
@@ -11,18 +11,22 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import Stored, ship
 
-#: Host paths, or pages that their host outvotes, that may be broadcast: about 100 bytes each.
+#: Host paths, or pages that their host outvotes, that may be broadcast: about 50 bytes each.
 BROADCAST_PATHS = 200_000
+#: Steps of a path's label; the path itself is hashed whole.
+STEPS = 8
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,7 +55,9 @@ _DIGITS = re.compile(r"[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "name", "drop", "good", "up", "parts", "score", "link", "head")
+    """An element. What depends on its ancestors is settled when it opens, so depth costs nothing."""
+
+    __slots__ = ("tag", "name", "drop", "good", "up", "parts", "score", "link", "head", "depth", "fence", "key", "main", "heading")
 
     def __init__(self, tag: str, up: Node | None, attrs: str = ""):
         self.tag, self.up, self.parts, self.score = tag, up, [], 0.0
@@ -59,6 +65,10 @@ class Node:
         self.drop = (up is not None and up.drop) or tag in DROP_TAG
         self.link = tag == "a" or (up is not None and up.link)
         self.head = tag == "header" or (up is not None and up.head)
+        self.depth = 0 if up is None else up.depth + 1
+        self.fence = self if up is None or tag in FENCE else up.fence
+        self.main = up is not None and (up.main or up.tag in ("article", "main"))
+        self.heading = up is not None and (up.heading or up.tag in HEADING)
         if attrs and not attrs.isspace():
             a = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
             marks = f"{a.get('class', '')} {a.get('id', '')}"
@@ -73,28 +83,37 @@ class Node:
             self.drop = self.drop or a.get("role", "").lower() in DROP_ROLE or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "") or bool(re.search(r"(?:^|\s)hidden(?:\s|$)", attrs))
             self.good = bool(GOOD_CLASS.search(marks)) or a.get("role") == "main"
         if tag == "header" and not self.drop:
-            self.drop = not self.within("article", "main")
-
-    def within(self, *tags: str) -> bool:
-        x = self.up
-        while x is not None:
-            if x.tag in tags:
-                return True
-            x = x.up
-        return False
-
-    def path(self) -> str:
-        out, x = [], self
-        while x.up is not None:
-            out.append(x.name)
+            self.drop = not self.main
+        self.key = 0 if up is None else xxhash.xxh64_intdigest(self.name.encode("utf-8", "surrogatepass"), up.key)
+
+    @property
+    def path(self) -> int:
+        """Signed 64-bit hash of the generalised tag-class path."""
+        return self.key - (self.key >> 63 << 64)
+
+    def label(self) -> str:
+        """The last steps of the path, to be read by people."""
+        steps, x = [], self
+        while x.up is not None and len(steps) < STEPS:
+            steps.append(x.name)
             x = x.up
-        return "/".join(reversed(out))
+        return "/".join(reversed(steps))
 
 
 def parse(page: str) -> Node:
     """The page as a tree, whatever is unclosed, misnested or left open in it. One forward scan."""
     root = Node("", None)
-    here, open_tags, at, n = root, Counter(), 0, len(page)
+    here, at, n = root, 0, len(page)
+    opened: defaultdict[str, list[Node]] = defaultdict(list)  # by tag, outermost first
+
+    def leave(last: Node) -> Node:
+        """Close all down from `last`."""
+        x = here
+        while x is not last.up:
+            opened[x.tag].pop()
+            x = x.up
+        return x
+
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -126,33 +145,20 @@ def parse(page: str) -> Node:
             continue
         at, tag = m.end(), m[2].lower()
         if m[1]:
-            if open_tags[tag]:
-                while here.tag != tag:
-                    open_tags[here.tag] -= 1
-                    here = here.up
-                open_tags[tag] -= 1
-                here = here.up
+            if opened[tag]:
+                here = leave(opened[tag][-1])
             elif tag == "p":
                 here.parts.append(Node("p", here))  # as browsers do: it ends a block
             continue
-        if tag in CLOSES_P and open_tags["p"]:
-            x = here
-            while x.tag != "p" and x.tag not in FENCE and x.up is not None:
-                x = x.up
-            if x.tag == "p":
-                while here is not x.up:
-                    open_tags[here.tag] -= 1
-                    here = here.up
+        if tag in CLOSES_P and opened["p"] and opened["p"][-1].depth > here.fence.depth:
+            here = leave(opened["p"][-1])
         if tag in CLOSES:
-            x, last = here, None
-            while x.up is not None and (x.tag in CLOSES[tag] or x.tag not in FENCE):
-                if x.tag in CLOSES[tag]:
-                    last = x
-                x = x.up
-            if last is not None:
-                while here is not last.up:
-                    open_tags[here.tag] -= 1
-                    here = here.up
+            scope = here.fence
+            while scope.tag in CLOSES[tag]:
+                scope = scope.up.fence
+            inside = [v[k] for t in CLOSES[tag] if (v := opened[t]) and (k := bisect_right(v, scope.depth, key=lambda x: x.depth)) < len(v)]
+            if inside:
+                here = leave(min(inside, key=lambda x: x.depth))
         node = Node(tag, here, m[3])
         here.parts.append(node)
         if tag in RAW:
@@ -162,7 +168,7 @@ def parse(page: str) -> Node:
             close = page.find(">", end.end())
             at = n if close < 0 else close + 1
         elif tag not in VOID and not m[3].endswith("/"):
-            open_tags[tag] += 1
+            opened[tag].append(node)
             here = node
     return root
 
@@ -185,7 +191,7 @@ def blocks(top: Node) -> Iterator[tuple[str, Node, float]]:
         x, leave = stack.pop()
         if isinstance(x, tuple):
             text, node = x
-            if not node.head or node.tag in HEADING or node.within(*HEADING):
+            if not node.head or node.tag in HEADING or node.heading:
                 buf.append(text)
                 linked += len(text) if node.link else 0
             continue
@@ -216,19 +222,24 @@ def blocks(top: Node) -> Iterator[tuple[str, Node, float]]:
 
 
 def containers(root: Node) -> list[Node]:
-    """Scored containers, best first: a block counts for its ancestors, less with each level."""
-    found: dict[int, Node] = {}
+    """Scored containers, best first, ties in page order: a block counts for its ancestors, less with each container above it."""
+    order, stack = [], [root]
+    while stack:
+        x = stack.pop()
+        order.append(x)
+        stack.extend(p for p in reversed(x.parts) if not isinstance(p, str) and not p.drop)
     for text, node, share in blocks(root):
-        worth, x = len(text) * (1 - share), node if node.tag in CONTAINER else node.up
-        while x is not None:
-            if (x.tag in CONTAINER or x.up is None) and not x.drop:
-                x.score += worth
-                found[id(x)] = x
-                worth *= 0.6
-            x = x.up
-    for x in found.values():
-        x.score *= (1.6 if x.tag in ("article", "main") else 1.2 if x.good else 0.6 if x.tag in ("body", "") else 1.0)
-    return sorted(found.values(), key=lambda x: -x.score)
+        if node.up is not None:
+            node.score += len(text) * (1 - share)
+    found = []
+    for x in reversed(order):  # every element after those inside it
+        held = x.tag in CONTAINER or x.up is None
+        if x.up is not None and x.score:
+            x.up.score += x.score * (0.6 if held else 1.0)
+        if held and x.score > 0:
+            x.score *= 1.6 if x.tag in ("article", "main") else 1.2 if x.good else 0.6 if x.tag in ("body", "") else 1.0
+            found.append(x)
+    return sorted(reversed(found), key=lambda x: -x.score)
 
 
 def host_of(url: str | None) -> str | None:
@@ -238,11 +249,11 @@ def host_of(url: str | None) -> str | None:
         return None
 
 
-def text_of(page: str | None, votes: dict[str, float]) -> str:
+def text_of(page: str | None, votes: dict[int, float]) -> str:
     """The page's main text, given its host's votes by path."""
     root = parse(page or "")
-    boxes = [x for x in containers(root) if x.score > 0]
-    known = [(votes[p], x) for x in boxes if (p := x.path()) in votes]
+    boxes = containers(root)
+    known = [(votes[x.path], x) for x in boxes if x.path in votes]
     top = max(known, key=lambda k: k[0])[1] if known else boxes[0] if boxes else root
     return "\n".join(t for t, _, _ in blocks(top))
 
@@ -253,33 +264,34 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for key, url, page in zip(b["key"], b["url"], b["html"], strict=True):
             host = host_of(url)
             boxes = containers(parse(page or "")) if host else []
-            first: dict[str, tuple] = {}
+            first: dict[int, tuple] = {}
             for i, x in enumerate(boxes):
-                if x.score > 0:
-                    first.setdefault(path := x.path(), (key, host, path, x.score / boxes[0].score, i))
+                first.setdefault(x.path, (key, host, x.path, x.label(), x.score / boxes[0].score, i))
             rows += first.values()
-        yield pd.DataFrame(rows, columns=["key", "host", "path", "share", "at"])
+        yield pd.DataFrame(rows, columns=["key", "host", "path", "label", "share", "at"])
 
 
 def candidates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(key, host, path, share, at): the best container of each path of every page that has a host; key is a hash of url and page."""
+    """(key, host, path, label, share, at): the best container of each path of every page that has a host; key is a hash of url and page."""
     ship(pages.sparkSession)
     src = pages.select(F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return src.withColumn("key", F.xxhash64("url", "html")).mapInPandas(_candidates, "key long, host string, path string, share double, at int")
+    return src.withColumn("key", F.xxhash64("url", "html")).mapInPandas(_candidates, "key long, host string, path long, label string, share double, at int")
 
 
 def host_votes(boxes: DataFrame) -> DataFrame:
-    """(host, path, votes) of all paths of each host.
+    """(host, path, label, votes) of all paths of each host.
 
     Votes are the mean share over the pages that have the path, with one page of share 0 added: a path
     of few templates isn't outvoted by what all pages share, nor a path of many by that of one page.
     """
-    return boxes.groupBy("host", "path").agg(F.round(F.sum("share") / (F.count("share") + 1), 6).alias("votes"))
+    return boxes.groupBy("host", "path").agg(F.round(F.sum("share") / (F.count("share") + 1), 6).alias("votes"), F.min("label").alias("label"))
 
 
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, paths array<struct<votes, path>>): the generalised paths of each host, winners first."""
-    return host_votes(candidates(pages, url_col, html_col)).groupBy("host").agg(F.sort_array(F.collect_list(F.struct("votes", "path")), asc=False).alias("paths"))
+    """(host, rank, votes, path, key): the generalised paths of each host by rank, winners first, `path` being
+    the last steps and `key` the hash of the whole path. A row each, so no host is one value."""
+    votes = host_votes(candidates(pages, url_col, html_col))
+    return votes.select("host", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path")).alias("rank"), "votes", F.col("label").alias("path"), F.col("path").alias("key"))
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -289,7 +301,7 @@ def _few(df: DataFrame) -> DataFrame:
 def outvoted(boxes: DataFrame) -> DataFrame:
     """(key, path) of the pages whose host's votes choose another container than the page's own best."""
     votes = Stored(host_votes(boxes), "votes").read()
-    best = boxes.join(_few(votes), ["host", "path"]).groupBy("key").agg(F.max(F.struct("votes", (-F.col("at")).alias("at"), "path")).alias("best"))
+    best = boxes.drop("label").join(_few(votes.drop("label")), ["host", "path"]).groupBy("key").agg(F.max(F.struct("votes", (-F.col("at")).alias("at"), "path")).alias("best"))
     return best.where("best.at < 0").select(F.col("key").alias("_key"), "best.path")
 
 
@@ -302,11 +314,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     ship(pages.sparkSession)
     other = Stored(outvoted(Stored(candidates(pages, url_col, html_col), "boxes").read()), "outvoted").read()
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    joined = src.join(_few(other), F.xxhash64("url", "html") == F.col("_key"), "left").select("page_id", "url", "html", "path")
+    joined = src.join(_few(other), F.xxhash64("url", "html") == F.col("_key"), "left").select("page_id", "url", "html", F.col("path").cast("string"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = [text_of(h, {p: 1.0} if p is not None else {}) for h, p in zip(b["html"], b["path"], strict=True)]
+            texts = [text_of(h, {} if p is None else {int(p): 1.0}) for h, p in zip(b["html"], b["path"], strict=True)]
             yield b[["page_id", "url"]].assign(text=texts)
 
     kind = src.schema["page_id"].dataType.simpleString()

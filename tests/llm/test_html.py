@@ -1,3 +1,6 @@
+import random
+import time
+
 from benthos.llm import html
 
 
@@ -45,8 +48,8 @@ def test_hosts_vote_for_their_path(spark):
     assert got[9] == ["the short article"]
     assert got[0] == [("the article text " * 8).strip()]
     assert got[20] == ["alone", "alone"] and got[21] == [""] and got[22] == ["odd host"]
-    paths = {r["host"]: [p["path"] for p in r["paths"]] for r in html.host_paths(df).collect()}
-    assert paths["host.example"][0].endswith("div.story-#")
+    first = [r for r in html.host_paths(df).collect() if r["host"] == "host.example" and r["rank"] == 1]
+    assert first[0]["path"].endswith("div.story-#")
 
 
 def test_empty(spark):
@@ -67,3 +70,77 @@ def test_all_paths_of_a_host_vote(spark):
 def test_formulas_and_labels_are_text():
     page = "<article><p>So <math><mi>x</mi><annotation>x</annotation></math> and <svg><title>t</title><text>drawn</text></svg> hold for a <label>name</label>.</p><form><label>no</label></form></article>"
     assert text(page) == "So x and drawn hold for a name."
+
+
+def test_deep_pages_take_time_in_proportion():
+    def seconds(page):
+        began = time.perf_counter()
+        html.text_of(page, {})
+        html.containers(html.parse(page))
+        return time.perf_counter() - began
+
+    for piece in ("<div class='a{0}'>text ", "<article><header>h", "<table><tr><td>x", "<ul><li><b>", "<p>x<table><td><font>", "<section><p>a<div>"):
+        short, long = ("".join(piece.format(i) for i in range(n)) for n in (4000, 32_000))
+        a = min(seconds(short) for _ in range(2))
+        assert seconds(long) < 8 * 3 * a + 0.5
+    assert seconds("<div>t" * 50_000) < 5 and seconds("<ul><li><div>" + "<span>" * 20_000 + "<li>x</li>" * 20_000) < 5
+
+
+def plain(pages):
+    """Scoring by climbing from each block, voting and re-extraction, restated with dictionaries."""
+    boxes, shares = {}, {}
+    for k, (url, page) in enumerate(pages):
+        root, score, order = html.parse(page), {}, []
+        for text, node, share in html.blocks(root):
+            worth, x = len(text) * (1 - share), node
+            if node.up is None:
+                continue
+            while x is not None:
+                if x.tag in html.CONTAINER or x.up is None:
+                    score[x] = score.get(x, 0) + worth
+                    worth *= 0.6
+                x = x.up
+        stack = [root]
+        while stack:
+            x = stack.pop()
+            order.append(x)
+            stack += [p for p in reversed(x.parts) if not isinstance(p, str)]
+
+        def steps(x):
+            out = []
+            while x.up is not None:
+                out.append(x.name)
+                x = x.up
+            return tuple(out)
+
+        weight = lambda x: 1.6 if x.tag in ("article", "main") else 1.2 if x.good else 0.6 if x.tag in ("body", "") else 1.0
+        best = sorted((x for x in order if score.get(x, 0) > 0), key=lambda x: -round(score[x] * weight(x), 9))
+        boxes[k] = root, [(x, steps(x), score[x] * weight(x)) for x in best]
+        seen = set()
+        for x, path, s in boxes[k][1]:
+            if path not in seen:
+                seen.add(path)
+                shares.setdefault((html.host_of(url), path), []).append(s / boxes[k][1][0][2])
+    out = []
+    for k, (url, _) in enumerate(pages):
+        root, ranked = boxes[k]
+        if not ranked:
+            top = root
+        else:
+            vote = lambda p: round(sum(v := shares[html.host_of(url), p]) / (len(v) + 1), 6)  # noqa: B023, E731
+            top = max(ranked, key=lambda r: vote(r[1]))[0]
+        out.append("\n".join(t for t, _, _ in html.blocks(top)))
+    return out
+
+
+def test_consensus_against_a_restatement(spark):
+    rng = random.Random(2)
+    words = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "mu"]) for _ in range(n))
+    pages = []
+    for i in range(120):
+        host = rng.choice("abc")
+        boxes = [f"<div class='{c}-{i % 4}'><p>{words(rng.randint(1, 40))}<div><p>{words(rng.randint(1, 9))}</div></div>" for c in rng.sample(["story", "box", "list", "extra"], 3)]
+        pages.append((f"http://{host}.example/{i}", f"<body class='t{host}'><section>{boxes[0]}</section>{boxes[1]}<main>{boxes[2]}</main>"))
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(df).collect()}
+    assert [got[i] for i in range(len(pages))] == plain(pages)
