@@ -23,16 +23,25 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents arrive in batches with estimated counts, are revised to exact ones, and two batches are replayed."""
+    """All documents arrive in batches with estimated counts and are revised to exact ones; those of one
+    batch are withdrawn and come back, those of fewer than 16 tokens go for good; a snapshot is taken on
+    the way and batches are replayed before and after it.
+    """
     counts = stored(rollup.token_counts(table(spark, sf_dir, "documents")).withColumn("guess", F.ceil(F.col("n_bytes") / 4)).withColumn("b", F.pmod(F.xxhash64("doc_id"), F.lit(4))), "counts")
     ledger = rollup.Ledger(spark, f"{shared_dir(spark)}/benthos-ledger-{uuid.uuid4().hex}")
     for b in range(4):
         part = counts.where(F.col("b") == b)
         ledger.commit(f"insert-{b}", rollup.changes(part, "insert", n="guess"))
         ledger.commit(f"revise-{b}", rollup.changes(part, "revise", n="n_tokens", old="guess"))
-    ledger.commit("insert-0", rollup.changes(counts, "insert", n="guess"))
     ledger.commit("revise-3", rollup.changes(counts, "delete", old="n_tokens"))
-    return ledger.totals()
+    ledger.compact()
+    ledger.commit("insert-0", rollup.changes(counts, "insert", n="guess"))
+    ledger.commit("withdraw-2", rollup.changes(counts.where("b = 2"), "delete", old="n_tokens"))
+    ledger.commit("return-2", rollup.changes(counts.where("b = 2"), "insert", n="n_tokens"))
+    ledger.commit("short", rollup.changes(counts.where("n_tokens < 16"), "delete", old="n_tokens"))
+    out = stored(ledger.totals(), "rollup")
+    ledger.drop()
+    return out
 
 
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,18 +1,23 @@
 """Token-count rollups that signed deltas keep up to date.
 
 A change row inserts, deletes or revises the token count of one document under one tokenizer
-version.  A batch of changes becomes signed subtotals by (source, lang, tokenizer) and is committed
-under its id as one small partition of a ledger in the shared folder; a partition counts once its
-success mark is there and a batch id that is there is never added again, so a retried or replayed
-batch changes nothing.  Totals are the sum of the committed partitions.
+version.  A batch of changes becomes signed subtotals by (source, lang, tokenizer), is written beside
+the ledger in the shared folder and moved in under its id by one rename, which fails if the id is there:
+of two writers one commits, and a retried or replayed batch changes nothing.
+
+Totals are maintained: compact() adds the batches since the last snapshot to it, in a new snapshot
+with the ids that it covers, moved in the same way; then the covered batches' files go.  Totals read
+one snapshot and what came after it, from one listing.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,41 +67,97 @@ def signed(change: DataFrame) -> DataFrame:
 
 
 class Ledger:
-    """Committed batches under one folder that all executors share."""
+    """Committed batches and snapshots under one folder that all executors share.
+
+    A writer that dies leaves nothing but a folder whose name starts with a dot, which nobody reads.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _fs(self, at: str):
-        sc = self.spark.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(at)
-        return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+    def _path(self, *names: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
 
-    def _at(self, batch_id: str) -> str:
-        if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
-            raise ValueError(f"a batch id has letters, digits, dots, dashes and underscores: {batch_id!r}")
-        return f"{self.path}/batch={batch_id}"
+    def _fs(self):
+        return self._path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _names(self, kind: str) -> list[str]:
+        fs = self._fs()
+        if not fs.exists(self._path()):
+            return []
+        names = sorted(s.getPath().getName() for s in fs.listStatus(self._path()))
+        return [n.removeprefix(kind) for n in names if n.startswith(kind)]
+
+    def _move(self, tmp: str, name: str) -> bool:
+        """Give a written folder its name; False, and the folder goes, if there is one of that name."""
+        jvm = self.spark.sparkContext._jvm
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path().toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            files.rename(self._path(tmp), self._path(name), self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in str(e.java_exception) and not self._fs().exists(self._path(name)):
+                raise
+            self._fs().delete(self._path(tmp), True)
+            return False
+        return True
+
+    def _snapshot(self) -> int:
+        """Number of the last snapshot, 0 if there is none."""
+        return max(map(int, self._names("snapshot=")), default=0)
+
+    def _covered(self, snapshot: int, batches: list[str]) -> set[str]:
+        """Those of these ids that the snapshot covers."""
+        if not snapshot or not batches:
+            return set()
+        ids = self.spark.read.schema("batch string").parquet(f"{self.path}/snapshot={snapshot}/batches")
+        asked = self.spark.createDataFrame([(b,) for b in batches], "batch string")
+        return {r["batch"] for r in ids.join(F.broadcast(asked), "batch", "left_semi").collect()}
 
     def committed(self, batch_id: str) -> bool:
-        p, fs = self._fs(f"{self._at(batch_id)}/_SUCCESS")
-        return bool(fs.exists(p))
+        return self._fs().exists(self._path(f"batch={batch_id}")) or bool(self._covered(self._snapshot(), [batch_id]))
 
     def commit(self, batch_id: str, change: DataFrame) -> bool:
-        """Add a batch once. False if it was there; what a failed try left is overwritten."""
+        """Add a batch once. False if its id was there."""
+        if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
+            raise ValueError(f"a batch id has letters, digits, dots, dashes and underscores: {batch_id!r}")
         if self.committed(batch_id):
             return False
-        signed(change).where("docs <> 0 or tokens <> 0").coalesce(1).write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(self._at(batch_id))
-        return True
+        tmp = f".try-{uuid.uuid4().hex}"
+        signed(change).where("docs <> 0 or tokens <> 0").coalesce(1).write.parquet(f"{self.path}/{tmp}")
+        return self._move(tmp, f"batch={batch_id}")
 
     def batches(self) -> list[str]:
-        p, fs = self._fs(self.path)
-        if not fs.exists(p):
-            return []
-        names = sorted(s.getPath().getName() for s in fs.listStatus(p))
-        return [n.removeprefix("batch=") for n in names if n.startswith("batch=") and self.committed(n.removeprefix("batch="))]
+        """Ids of the batches that no snapshot covers."""
+        here = self._names("batch=")
+        gone = self._covered(self._snapshot(), here)
+        return [b for b in here if b not in gone]
+
+    def _rows(self, snapshot: int, batches: list[str]) -> DataFrame:
+        paths = [f"{self.path}/batch={b}" for b in batches] + [f"{self.path}/snapshot={snapshot}/totals"] * (snapshot > 0)
+        return self.spark.read.schema(SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], SCHEMA)
 
     def totals(self) -> DataFrame:
-        """(source, lang, tokenizer, docs, tokens) over the committed batches; keys without documents go."""
-        paths = [self._at(b) for b in self.batches()]
-        rows = self.spark.read.schema(SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], SCHEMA)
+        """(source, lang, tokenizer, docs, tokens) over the committed batches; keys without documents and tokens go."""
+        rows = self._rows(self._snapshot(), self.batches())
         return rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
+
+    def compact(self) -> bool:
+        """Take the batches since the last snapshot into a new one. False if there are none, or another writer was first."""
+        last, batches = self._snapshot(), self.batches()
+        if not batches:
+            return False
+        tmp = f".try-{uuid.uuid4().hex}"
+        totals = self._rows(last, batches).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
+        totals.coalesce(1).write.parquet(f"{self.path}/{tmp}/totals")
+        ids = self.spark.createDataFrame([(b,) for b in batches], "batch string")
+        if last:
+            ids = ids.union(self.spark.read.schema("batch string").parquet(f"{self.path}/snapshot={last}/batches"))
+        ids.coalesce(1).write.parquet(f"{self.path}/{tmp}/batches")
+        if not self._move(tmp, f"snapshot={last + 1}"):
+            return False
+        for name in [f"batch={b}" for b in batches] + [f"snapshot={last}"] * (last > 0):
+            self._fs().delete(self._path(name), True)
+        return True
+
+    def drop(self) -> None:
+        self._fs().delete(self._path(), True)
