@@ -18,13 +18,14 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import ship
-from .tokens import WordIds
+from .tokens import WordIds, cached
 
 
 class Limits(NamedTuple):
@@ -188,8 +189,17 @@ def pack_examples(examples: DataFrame, limits: Limits, key_col: str, tokens_col:
     return src.mapInArrow(run, f"key {kind}, sequence_id long, offset long, tokens long, loss long")
 
 
-def conversation_sizes(turns: DataFrame) -> DataFrame:
-    """conversations (conv_id, turn, role, text) -> (conv_id, tokens, loss): assistant words bear loss."""
-    n = F.size(F.split(F.trim(F.coalesce("text", F.lit(""))), r"\s+"))
-    return turns.groupBy("conv_id").agg(F.sum(n).alias("tokens"), F.sum(F.when(F.col("role") == "assistant", n).otherwise(0)).alias("loss"))
+def conversation_sizes(turns: DataFrame, key_col: str = "conv_id", role_col: str = "role", text_col: str = "text", where: str | None = None) -> DataFrame:
+    """Turns -> (conv_id, tokens, loss) of each conversation; the assistant's tokens bear loss.
 
+    Tokens are the tokenizer's; an empty or null turn has none.  A null key is one conversation; a null
+    role bears no loss; repeated rows count as often as they occur; an empty table gives an empty result.
+    """
+    ship(turns.sparkSession)
+
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(x) // 4 for x in cached(WordIds, "word_bpe_49k.json", where).encode_all(list(texts))], dtype="int64")
+
+    n = F.pandas_udf(run, "long")(F.col(text_col).cast("string"))
+    sized = turns.select(F.col(key_col).alias("conv_id"), F.col(role_col).alias("role"), n.alias("n"))
+    return sized.groupBy("conv_id").agg(F.sum("n").alias("tokens"), F.sum(F.when(F.col("role") == "assistant", F.col("n")).otherwise(0)).alias("loss"))

@@ -22,6 +22,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+#: Of the conversations' sequences: tokens, conversations and loss-bearing tokens.
+CONVERSATIONS = packing.Limits(8192, 9, 6656)
+
+
+def conversation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole conversations in sequences under all three limits."""
+    sizes = stored(packing.conversation_sizes(table(spark, sf_dir, "conversations")), "sizes")
+    return packing.pack_examples(sizes, CONVERSATIONS, "conv_id", "tokens", "loss").withColumnRenamed("key", "conv_id")
+
+
 def op3_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents arrive in batches with estimated counts and are revised to exact ones; those of one
     batch are withdrawn and come back, those of fewer than 16 tokens go for good; a snapshot is taken on
@@ -89,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm": op8_lm,
     "op9_lattice": op9_lattice,
     "op10_decontam": op10_decontam,
+    "conversation_packing": conversation_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -80,8 +80,34 @@ def test_conversations_stay_whole_within_all_limits(spark):
 
 
 def test_loss_is_counted_on_assistant_turns(spark):
-    turns = spark.createDataFrame([(1, 0, "user", "a b c"), (1, 1, "assistant", "d e"), (2, 0, "user", None)], "conv_id long, turn long, role string, text string")
-    assert {(r["conv_id"], r["loss"]) for r in packing.conversation_sizes(turns).collect()} == {(1, 2), (2, 0)}
+    turns = spark.createDataFrame([(1, 0, "user", "a b c", 1), (1, 1, "assistant", "Straße, unzerlegbar", 2), (1, 1, "assistant", "Straße, unzerlegbar", 2), (2, 0, "user", None, 3), (2, 1, "assistant", "", 4), (None, 0, None, "x y", 5)], "conv_id long, turn long, role string, text string, tokens int")
+    n = len(ids("Straße, unzerlegbar"))
+    want = {(1, len(ids("a b c")) + 2 * n, 2 * n), (2, 0, 0), (None, len(ids("x y")), 0)}
+    assert {tuple(r) for r in packing.conversation_sizes(turns).collect()} == want
+    assert packing.conversation_sizes(turns.limit(0)).count() == 0
+
+
+def test_query_binds_all_three_limits(spark):
+    from benthos.llm import queries
+
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").collect()
+    size, loss = {}, {}
+    for r in turns:
+        n = len(ids(r["text"]))
+        size[r["conv_id"]] = size.get(r["conv_id"], 0) + n
+        loss[r["conv_id"]] = loss.get(r["conv_id"], 0) + n * (r["role"] == "assistant")
+    seqs = {}
+    rows = queries.conversation_packing(spark, "/root/testdata/sf0.01").collect()
+    assert {r["conv_id"]: (r["tokens"], r["loss"]) for r in rows} == {k: (size[k], loss[k]) for k in size} and len(rows) == len(size)
+    for r in rows:
+        seqs.setdefault(r["sequence_id"], []).append(r)
+    full = [0, 0, 0]
+    for seq in seqs.values():
+        used = (sum(r["tokens"] for r in seq), len(seq), sum(r["loss"] for r in seq))
+        assert all(u <= c for u, c in zip(used, queries.CONVERSATIONS))
+        for i, (u, c) in enumerate(zip(used, queries.CONVERSATIONS)):
+            full[i] += u > 0.97 * c
+    assert min(full) > 0  # each limit closes some sequence
 
 
 def test_empty_and_repeated(spark):
