@@ -67,8 +67,12 @@ def kept_grams(df: DataFrame, *keep: str) -> DataFrame:
     return here.where(changed).select(*keep, "w", "n", "p", F.shiftright("m", 3).alias("fp"))
 
 
+def _few(df: DataFrame) -> bool:
+    return df.count() <= BROADCAST_ROWS
+
+
 def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if _few(df) else df
 
 
 def benchmark_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -84,19 +88,27 @@ def hits(docs: DataFrame, items: DataFrame, windows: DataFrame, text_col: str =
     keys = ["_d", "_k"]
     own = hashed(docs, text_col, F.col("_d"), F.col("_k"))
     prints = stored(kept_grams(hashed(items, item_text)).select("fp").distinct(), "fp")
-    known = windows.select("len", "h").distinct()
-    met = kept_grams(own, *keys).join(_small(prints), "fp")
+    known = stored(windows.select("len", "h").distinct(), "known")
+    grams = kept_grams(own, *keys)
+    if _few(prints):
+        met = grams.join(F.broadcast(prints), "fp")
+    else:  # only positions are shuffled; a document with any comes back to its words once
+        at = grams.select(*keys, "p", "fp").join(prints, "fp").groupBy(F.col("_d").alias("d"), F.col("_k").alias("k")).agg(F.collect_set("p").alias("at"))
+        met = own.join(at, F.col("_d").eqNullSafe(F.col("d")) & (F.col("_k") == F.col("k"))).select(*keys, "w", "n", F.explode("at").alias("p"))
     around = met.select(*keys, "w", F.explode(F.sequence(F.greatest(F.lit(0), F.col("p") - (WINDOW - 1)), F.least(F.col("p"), F.col("n") - SPAN))).alias("s"))
     found = around.select(*keys, "s", F.lit(SPAN).alias("len"), F.xxhash64(*[F.get("w", F.col("s") + k) for k in range(SPAN)]).alias("h")).distinct()
     out = found.join(_small(known.where(F.col("len") == SPAN)), ["len", "h"], "left_semi").select(*keys, "s", "len", "h")
-    for (size,) in known.where(F.col("len") < SPAN).select("len").distinct().collect():  # at most SPAN - 1 values
-        at = own.select(*keys, "w", F.explode(_upto(F.col("n"), size)).alias("s"))
-        h = F.lit(0).cast("long")
-        for k in range(size):
-            h = F.xxhash64(h, F.get("w", F.col("s") + k))
-        short = at.select(*keys, "s", F.lit(size).alias("len"), h.alias("h"))
-        out = out.union(short.join(_small(known.where(F.col("len") == size)), ["len", "h"], "left_semi").select(*keys, "s", "len", "h"))
-    return out
+    lens = sorted(r["len"] for r in known.where(F.col("len") < SPAN).select("len").distinct().collect())  # at most SPAN - 1 values
+    if not lens:
+        return out
+    at = own.where(F.col("n") >= lens[0]).select(*keys, "w", "n", F.explode(F.sequence(F.lit(0), F.col("n") - lens[0])).alias("s"))
+    h, runs = F.lit(0).cast("long"), []
+    for size in range(1, lens[-1] + 1):
+        h = F.xxhash64(h, F.get("w", F.col("s") + size - 1))
+        if size in lens:
+            runs.append(F.when(F.col("s") + size <= F.col("n"), F.struct(F.lit(size).alias("len"), h.alias("h"))))
+    short = at.select(*keys, "s", F.explode(F.array(*runs)).alias("run")).where("run is not null").select(*keys, "s", "run.len", "run.h")
+    return out.union(short.join(_small(known.where(F.col("len") < SPAN)), ["len", "h"], "left_semi").select(*keys, "s", "len", "h"))
 
 
 def covered(spans: Column) -> Column:
@@ -111,8 +123,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     `items` holds the ids of the items with occurring windows as strings, sorted.  A null or
     wordless text has no words and no hits; repeated rows come back as often as they went in; rows
-    that share a doc_id but not a text keep their own results; null ids are carried; a null item_id
-    counts as an item under the name "null"; empty tables on either side give no hits.
+    that share a doc_id but not a text keep their own results; null ids are carried; items with a null
+    item_id count as one item, which is null and last in `items`; empty tables on either side give no hits.
     """
     return of_rows(docs, items, id_col, text_col, item_col, item_text).drop("text_hash")
 
@@ -120,12 +132,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def of_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """contamination with the hash of each row's text (base.text_hash) as text_hash."""
     src = docs.select(F.col(id_col).alias("_d"), F.col(text_col).cast("string").alias("_t")).withColumn("_k", text_hash("_t"))
-    bench = items.select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text).cast("string").alias("text")).fillna("null", ["item_id"])
+    bench = items.select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text).cast("string").alias("text"))
     windows = stored(benchmark_windows(bench), "windows")
     found = Stored(hits(src, bench, windows, "_t"), "hits").read()
     spans = found.groupBy("_d", "_k").agg(F.array_sort(F.collect_set(F.struct("s", "len"))).alias("spans"))
     named = found.select("_d", "_k", "len", "h").distinct().join(windows, ["len", "h"]).select("_d", "_k", "item_id").distinct()
-    named = named.groupBy(F.col("_d").alias("d"), F.col("_k").alias("k")).agg(F.array_sort(F.collect_list("item_id")).alias("items"))
+    named = named.groupBy(F.col("_d").alias("d"), F.col("_k").alias("k")).agg(F.array_sort(F.transform(F.collect_list(F.struct("item_id")), lambda x: x["item_id"])).alias("items"))
     both = named.join(spans, F.col("_d").eqNullSafe(F.col("d")) & (F.col("_k") == F.col("k"))).select("d", "k", covered(F.col("spans")).cast("long").alias("n_hit"), "items")
     base = src.select("_d", "_k", F.size(words(F.col("_t"))).cast("long").alias("n_words"))
     out = base.join(both, base["_d"].eqNullSafe(both["d"]) & (base["_k"] == both["k"]), "left")

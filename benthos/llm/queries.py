@@ -103,6 +103,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op10_decontam": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS t
+  FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(s) WHERE len(w) > 0
+), runs AS (
+  SELECT r, s, n, array_to_string(w[s:s + n - 1], ' ') AS t FROM d JOIN (SELECT DISTINCT n FROM win) AS x ON len(w) >= n, unnest(range(1, len(w) - n + 2)) AS u(s)
+), hits AS (
+  SELECT r, s, n, item_id FROM runs JOIN win USING (n, t)
+), cov AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT r, s, n FROM hits) AS h, unnest(range(s, s + n)) AS u(p) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256 FROM (SELECT DISTINCT r, item_id FROM hits) AS h GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (r) LEFT JOIN items USING (r)
+""",
     "op9_lattice": """
 WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
