@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from benthos import schema
-from benthos.operators import link, raster, reports
+from benthos.operators import link, reports
 from benthos.sources import listings, parts, sinks
 from benthos.streaming import jobs
 from tests.test_link import S, random_sightings
@@ -95,16 +95,3 @@ def test_only_new_parts_are_read(spark, tmp_path):
     spark.range(5).coalesce(1).write.parquet(f"{root}/b")
     go()
     assert sum(seen) == 8 and seen[-1] == 5
-
-
-def test_planes():
-    plane = np.zeros((40, 40))
-    plane[5:7, 5:7] = plane[30:32, 20:22] = 50.0
-    assert raster.particles_of(plane + np.random.default_rng(0).normal(size=plane.shape) * 0.01)[0] == 2
-    still = np.random.default_rng(1).normal(size=(32, 32))
-    assert raster.camera_shift(still, np.roll(still, (3, -2), (0, 1))) == (3, -2)
-    lab, n = raster.label(np.array([[1, 1, 0], [0, 1, 0], [1, 0, 1]], bool))
-    assert n == 3 and lab[0, 0] == lab[1, 1] != lab[2, 0]
-    hues, sats, colourful = raster.spread_of(np.tile([1.0, 0.0, 0.0], (50, 1)))
-    assert hues[0] == 1.0 and sats[-1] == 1.0 and colourful == 1.0
-    assert raster.spread_of(np.zeros((9, 3)))[2] == 0.0
