@@ -57,8 +57,8 @@ def box_at(looks: DataFrame, moments: DataFrame, key: str) -> DataFrame:
     look = F.struct("second", "x1", "y1", "x2", "y2")
     none = F.lit(None)
     both = moments.select(key, F.col("now").alias("_w"), F.lit(1).alias("_m"), none.alias("_l")).unionByName(looks.select(key, F.col("second").alias("_w"), F.lit(0).alias("_m"), look.alias("_l")), allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy("_w", F.desc("_m"))  # a look at the very moment comes after it
-    x = both.withColumn("_b", F.last("_l", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("_a", F.first("_l", ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))).where("_m = 1")
+    so_far = lambda *order: F.last("_l", ignorenulls=True).over(Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    x = both.withColumn("_b", so_far("_w", F.desc("_m"))).withColumn("_a", so_far(F.desc("_w"), "_m")).where("_m = 1")  # a look at the very moment comes after it
     now, b, a = F.col("_w"), F.col("_b"), F.col("_a")
     span = a["second"] - b["second"]
     part = F.when(span > 0, (now - b["second"]) / span).otherwise(0.0)
@@ -80,9 +80,15 @@ def found_again(shares: DataFrame, reels: DataFrame) -> DataFrame:
 
 
 def interleaved(pages: DataFrame) -> DataFrame:
-    """pages (taxon, pages, pos) -> (taxon, page, n): page 0 of every taxon, then page 1 ..."""
+    """pages (taxon, pages, pos) -> (taxon, page, n): page 0 of every taxon, then page 1 ...
+
+    A page number's rows are counted first, so the only window over everything has a row for each number.
+    """
     x = pages.where("pages > 0").withColumn("page", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pages") - 1)))
-    return x.select("taxon", "page", (F.row_number().over(Window.orderBy("page", "pos")) - 1).alias("n"))  # a row for each page of the store
+    before = F.coalesce(F.sum("rows").over(Window.orderBy("page").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = x.groupBy("page").agg(F.count("*").alias("rows")).select(F.col("page").alias("_p"), before.alias("_before"))
+    within = F.row_number().over(Window.partitionBy("page").orderBy("pos", "taxon")) - 1
+    return x.withColumn("_w", within).join(sizes, F.col("page") == F.col("_p")).select("taxon", "page", (F.col("_before") + F.col("_w")).alias("n"))
 
 
 def moments_to_read(available: Column, fps: Column, every: float = 1.0, burst: int = 1) -> Column:

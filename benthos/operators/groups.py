@@ -1,8 +1,9 @@
-"""Many small groups in few Python calls: partitions sorted by key, streamed batch by batch."""
+"""Groups in few Python calls: partitions sorted by key, streamed batch by batch."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Protocol
 
 import numpy as np
 import pandas as pd
@@ -34,3 +35,58 @@ def stream_groups(df: DataFrame, keys: list[str], order: list[Column | str], wor
             yield work(held, np.array([0, len(held)]))
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+
+
+class Scan(Protocol):
+    """What follows one group's rows in order; either method may return None."""
+
+    def feed(self, rows: pd.DataFrame) -> pd.DataFrame | None: ...
+
+    def end(self) -> pd.DataFrame | None: ...
+
+
+def scan_groups(df: DataFrame, keys: list[str], order: list[Column | str], whole: list[str], make: Callable[[pd.DataFrame], Scan], schema: str) -> DataFrame:
+    """Feed every group's rows in order to its own make(first rows), batch by batch: no group is ever held.
+
+    Rows that are also equal in `whole` (sorted right after the keys) arrive in one piece.
+    """
+
+    def cuts(g: pd.DataFrame, names: list[str]) -> np.ndarray:
+        cut = np.zeros(max(0, len(g) - 1), bool)
+        for k in names:
+            v = g[k].to_numpy()
+            cut |= (v[1:] != v[:-1]) & ~(pd.isna(v[1:]) & pd.isna(v[:-1]))
+        return np.concatenate(([0], np.flatnonzero(cut) + 1, [len(g)]))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scan, now, held = None, None, None
+
+        def pieces(g: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            nonlocal scan, now
+            at = cuts(g, keys)
+            for s, e in zip(at[:-1], at[1:], strict=True):
+                part = g.iloc[s:e].reset_index(drop=True)
+                key = tuple(None if pd.isna(v) else v for v in part.loc[0, keys])
+                if scan is None or key != now:
+                    if scan is not None and (out := scan.end()) is not None:
+                        yield out
+                    scan, now = make(part), key
+                if (out := scan.feed(part)) is not None:
+                    yield out
+
+        for b in batches:
+            if not len(b):
+                continue
+            b = b if held is None else pd.concat([held, b], ignore_index=True)
+            last = cuts(b, [*keys, *whole])[-2]
+            held = b.iloc[last:]
+            if last and (out := list(pieces(b.iloc[:last]))):
+                yield pd.concat(out, ignore_index=True)
+        if held is not None:
+            out = list(pieces(held))
+            if (rest := scan.end()) is not None:
+                out.append(rest)
+            if out:
+                yield pd.concat(out, ignore_index=True)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *whole, *order).mapInPandas(run, schema)

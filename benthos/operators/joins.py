@@ -6,38 +6,51 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_nearest(left: DataFrame, right: DataFrame, key: str, at: str, tolerance: float, payload: list[str]) -> DataFrame:
+#: Stretches of time that an as-of join is split into, in tolerances.
+STRETCH = 64.0
+
+
+def asof_nearest(left: DataFrame, right: DataFrame, key: str, at: str, tolerance: float, payload: list[str], constant: DataFrame | None = None) -> DataFrame:
     """Each left row with the payload of the right row of its key nearest in `at` (seconds), within `tolerance`.
 
-    Ties go to the earlier row.  One union, one shuffle by key and two running windows; no pair is made.
+    Ties go to the earlier row.  `constant` (key, payload) has places that never change: a key with one takes
+    it where no row is near, whatever the time.  Time is cut into stretches, so a key with most of the rows is
+    many tasks; a right row near a cut goes to both sides.  One union and two running windows; no pair is made.
     """
+    wide = max(tolerance, 1e-9) * STRETCH
+    near = [F.floor((F.col(at) + d) / wide) for d in (-tolerance, 0.0, tolerance)]
     fix = F.struct(F.col(at).alias("_at"), *[F.col(c) for c in payload])
     none = F.lit(None)
-    both = left.withColumn("_l", F.struct(*left.columns)).select(key, F.col(at).alias("_when"), F.lit(1).alias("_side"), "_l", none.alias("_f")).unionByName(
-        right.withColumn("_f", fix).select(key, F.col(at).alias("_when"), F.lit(0).alias("_side"), none.alias("_l"), "_f"), allowMissingColumns=True
+    both = left.withColumn("_l", F.struct(*left.columns)).select(key, near[1].alias("_part"), F.col(at).alias("_when"), F.lit(1).alias("_side"), "_l", none.alias("_f")).unionByName(
+        right.withColumn("_f", fix).select(key, F.explode(F.array_distinct(F.array(*near))).alias("_part"), F.col(at).alias("_when"), F.lit(0).alias("_side"), none.alias("_l"), "_f"), allowMissingColumns=True
     )
-    order = Window.partitionBy(key).orderBy("_when")
-    before = F.last("_f", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    after = F.first("_f", ignorenulls=True).over(order.rangeBetween(Window.currentRow, Window.unboundedFollowing))
-    x = both.withColumn("_b", before).withColumn("_a", after).where("_side = 1")
+    so_far = lambda *order: F.last("_f", ignorenulls=True).over(Window.partitionBy(key, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    x = both.withColumn("_b", so_far("_when", "_side")).withColumn("_a", so_far(F.desc("_when"), "_side")).where("_side = 1")
     gap_b, gap_a = F.abs(F.col("_when") - F.col("_b._at")), F.abs(F.col("_a._at") - F.col("_when"))
-    near = F.when(F.col("_a").isNull() | (gap_b <= gap_a), F.col("_b")).otherwise(F.col("_a"))
-    x = x.withColumn("_n", near).withColumn("_n", F.when(F.abs(F.col("_n._at") - F.col("_when")) <= tolerance, F.col("_n")))
-    return x.select("_l.*", *[F.col(f"_n.{c}").alias(c) for c in payload])
+    best = F.when(F.col("_a").isNull() | (gap_b <= gap_a), F.col("_b")).otherwise(F.col("_a"))
+    x = x.withColumn("_n", best).withColumn("_n", F.when(F.abs(F.col("_n._at") - F.col("_when")) <= tolerance, F.col("_n")))
+    out = x.select("_l.*", *[F.col(f"_n.{c}").alias(c) for c in payload])
+    if constant is None:
+        return out
+    always = constant.select(F.col(key).alias("_key"), F.struct(*payload).alias("_c"))
+    hit = F.coalesce(*[F.col(c).isNotNull() for c in payload[:1]], F.lit(False))
+    return out.join(always, F.col(key) == F.col("_key"), "left").select(*left.columns, *[F.when(hit, F.col(c)).otherwise(F.col(f"_c.{c}")).alias(c) for c in payload])
 
 
 def interval_first(left: DataFrame, right: DataFrame, at: str, start: str, stop: str, by: list[str], keys: list[str], on: list[str] | None = None) -> DataFrame:
-    """Each left row with the first right row (by `by`) whose [start, stop] holds `at`; a null stop is open.
+    """Each left row with the first right row (by `by`, nulls last) whose [start, stop] holds `at`; a null stop is open.
 
-    `keys` identify left rows; `on` are equi-keys that both sides share.
+    `keys` identify left rows; `on` are equi-keys that both sides share.  The first is an aggregate that
+    starts before the shuffle, so overlapping intervals never pile up.
     """
     cond = (F.col(f"l.{at}") >= F.col(f"r.{start}")) & (F.col(f"r.{stop}").isNull() | (F.col(f"l.{at}") <= F.col(f"r.{stop}")))
     for c in on or []:
         cond = (F.col(f"l.{c}") == F.col(f"r.{c}")) & cond
+    extra = [c for c in right.columns if c not in (on or [])]
+    order = [x for b in by for x in (F.col(f"r.{b}").isNull().alias(f"_n{b}"), F.col(f"r.{b}").alias(f"_o{b}"))]
     j = left.alias("l").join(right.alias("r"), cond, "left")
-    x = j.select("l.*", *[F.col(f"r.{c}") for c in right.columns if c not in (on or [])])
-    w = Window.partitionBy(*keys).orderBy(*[F.col(b).asc_nulls_last() for b in by])
-    return x.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    g = j.groupBy(*[F.col(f"l.{k}").alias(f"_k{k}") for k in keys]).agg(F.any_value(F.struct("l.*")).alias("_l"), F.min(F.struct(*order, F.struct(*[F.col(f"r.{c}") for c in extra]).alias("_r")))["_r"].alias("_r"))
+    return g.select("_l.*", *[F.col(f"_r.{c}").alias(c) for c in extra])
 
 
 def band(left: DataFrame, right: DataFrame, on: list[str], value: str, width: float) -> DataFrame:

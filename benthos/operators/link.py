@@ -1,7 +1,7 @@
 """Linking detections into individuals, naming them, and matching them with ground truth.
 
-The tracker, the truth matcher and the fusion of passes are greedy and order-dependent, so each runs as
-one grouped function over its natural unit (a recording, or a frame), sorted inside by a total order.
+The tracker, the truth matcher and the fusion of passes are greedy and order-dependent, so each follows
+its natural unit (a recording, or a frame) in a total order, batch by batch.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from benthos.functions.exprs import shared_prefix, touches_edge
+from benthos.storage import ship
 
-from .groups import stream_groups
+from .groups import scan_groups, stream_groups
 
 # Fixed values of the tracking rules.
 TRACK_IOU, RELABEL_IOU, TRACK_GAP, GAP_SAMPLES, DRIFT, BURST, GAP_CEILING = 0.15, 0.3, 1.5, 2.5, 3.0, 0.2, 30.0
@@ -32,16 +33,36 @@ def overlaps(box: np.ndarray, boxes: np.ndarray) -> np.ndarray:
     return np.where(union > 0, both / np.where(union > 0, union, 1), 0.0)
 
 
-def gap_of(seconds: np.ndarray) -> float:
-    """How long an animal may go unseen: 2.5 times the usual time between looks, bursts being one look."""
-    looks: list[float] = []
-    for s in np.unique(seconds):
-        if not looks or s - looks[-1] > BURST:
-            looks.append(float(s))
-    if len(looks) < 2:
-        return TRACK_GAP
-    steps = np.sort(np.diff(looks))
-    return float(min(GAP_CEILING, max(TRACK_GAP, steps[len(steps) // 2] * GAP_SAMPLES)))
+class Looks:
+    """Steps between one recording's looks, in order; seconds within BURST of a look belong to it."""
+
+    def __init__(self, recording: object):
+        self.recording, self.last = recording, None
+
+    def feed(self, rows: pd.DataFrame) -> pd.DataFrame:
+        steps = []
+        for s in rows["second"].tolist():
+            if self.last is None or s - self.last > BURST:
+                if self.last is not None:
+                    steps.append(s - self.last)
+                self.last = s
+        return pd.DataFrame({"recording": [self.recording] * len(steps), "step": steps})
+
+    def end(self) -> None:
+        return None
+
+
+def gaps(sightings: DataFrame) -> DataFrame:
+    """(recording, gap): how long an animal may go unseen, 2.5 times the usual (upper median) time between looks.
+
+    A recording with fewer than two looks isn't here; its gap is TRACK_GAP.
+    """
+    kind = sightings.schema["recording"].dataType.simpleString()
+    looks = sightings.where("second is not null").select("recording", F.col("second").cast("double").alias("second")).distinct()
+    steps = scan_groups(looks, ["recording"], ["second"], [], lambda g: Looks(g["recording"].iat[0]), f"recording {kind}, step double")
+    w = Window.partitionBy("recording")
+    middle = steps.withColumn("i", F.row_number().over(w.orderBy("step")) - 1).withColumn("n", F.count("*").over(w)).where(F.col("i") == F.floor(F.col("n") / 2))
+    return middle.select("recording", F.least(F.lit(GAP_CEILING), F.greatest(F.lit(TRACK_GAP), F.col("step") * GAP_SAMPLES)).alias("gap"))
 
 
 class Linker:
@@ -90,24 +111,37 @@ class Linker:
 BOX = ["x1", "y1", "x2", "y2"]
 
 
+class Tracker:
+    """A Linker that follows one recording's rows, moment by moment."""
+
+    def __init__(self, gap: float, gate: float):
+        self.linker = Linker(gap, gate)
+
+    def feed(self, rows: pd.DataFrame) -> pd.DataFrame:
+        boxes, taxa, seconds, ids = rows[BOX].to_numpy(float), rows["taxon"].tolist(), rows["second"].to_numpy(), []
+        cuts = np.concatenate(([0], np.flatnonzero(seconds[1:] != seconds[:-1]) + 1, [len(rows)]))
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            ids += self.linker.moment(float(seconds[s]), boxes[s:e], taxa[s:e])
+        return rows.drop(columns="_gap").assign(animal=ids)
+
+    def end(self) -> None:
+        return None
+
+
 def track(sightings: DataFrame, gap: float | None = None, gate: float = TRACK_IOU) -> DataFrame:
     """sightings with `animal`, numbered from 0 in each recording in order of first sight.
 
-    Needs recording, second, taxon, confidence, the box and `ord`, which breaks ties of confidence.
+    Needs recording, second, taxon, confidence, the box and `ord`, which breaks ties of confidence.  A task
+    holds a batch of rows and the open tracks, never a recording.
     """
+    ship(sightings.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sightings.schema) + ", animal long"
-
-    def one(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["second", "confidence", "ord"], ascending=[True, False, True], kind="stable").reset_index(drop=True)
-        linker = Linker(gap if gap is not None else gap_of(g["second"].to_numpy()), gate)
-        boxes, taxa, ids = g[BOX].to_numpy(float), g["taxon"].tolist(), []
-        seconds = g["second"].to_numpy()
-        cuts = np.concatenate(([0], np.flatnonzero(seconds[1:] != seconds[:-1]) + 1, [len(g)]))
-        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            ids += linker.moment(float(seconds[s]), boxes[s:e], taxa[s:e])
-        return g.assign(animal=ids)
-
-    return sightings.groupBy("recording").applyInPandas(one, schema)
+    if gap is None:
+        g = gaps(sightings).withColumnRenamed("recording", "_recording").withColumnRenamed("gap", "_gap")
+        x = sightings.join(g, sightings["recording"].eqNullSafe(F.col("_recording")), "left").drop("_recording").withColumn("_gap", F.coalesce("_gap", F.lit(TRACK_GAP)))
+    else:
+        x = sightings.withColumn("_gap", F.lit(float(gap)))
+    return scan_groups(x, ["recording"], [F.desc("confidence"), "ord"], ["second"], lambda r: Tracker(float(r["_gap"].iat[0]), gate), schema)
 
 
 def named(tracked: DataFrame, taxonomy_lineages: DataFrame) -> DataFrame:

@@ -1,16 +1,20 @@
 """What each slice was doing, and the windows worth opening.
 
 Thresholds belong to a recording, so they are one grouped aggregate joined back by recording; runs are
-islands over a window; nearby runs are merged by a fold inside the JVM (`aggregate` over the recording's
-sorted runs), which keeps the exact newest-first rule without a Python worker.
+islands over a window; nearby runs are merged by a scan of each recording's sorted runs, which keeps the
+exact newest-first rule and holds only the windows that can still grow.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from benthos.functions.exprs import finite, nearest_rank
+from benthos.storage import ship
+
+from .groups import scan_groups
 
 # Fixed values of the verdict rules.
 FROZEN_BELOW, DWELL, ACTIVE, EMPTY_RATIO, MIN_ROWS, MERGE_GAP = 0.01, 0.15, 0.90, 0.2, 2, 10
@@ -71,22 +75,42 @@ def runs(judged: DataFrame) -> DataFrame:
     return fresh.where("kind is not null").groupBy("name", "run", "kind", "label").agg(F.min("i").alias("s"), F.max("i").alias("e")).drop("run")
 
 
+class Merger:
+    """Runs of one recording, in order, into windows.
+
+    A run joins the newest window of its kind and label, looking back from the newest window to the first
+    that ended over `gap` slices ago.  That one and all behind it never change again, so only those in
+    front of it are kept: one for each kind and label at most.
+    """
+
+    def __init__(self, name: str, gap: int):
+        self.name, self.gap = name, gap
+        self.open: list[list] = []  # [kind, label, s, e], newest first
+
+    def _rows(self, windows: list[list]) -> pd.DataFrame | None:
+        return pd.DataFrame([(self.name, *w) for w in windows], columns=["name", "kind", "label", "s", "e"]) if windows else None
+
+    def feed(self, rows: pd.DataFrame) -> pd.DataFrame | None:
+        done: list[list] = []
+        for kind, label, s, e in zip(rows["kind"], rows["label"], rows["s"].tolist(), rows["e"].tolist(), strict=True):
+            stop = next((i for i, w in enumerate(self.open) if s - w[3] - 1 > self.gap), len(self.open))
+            done += self.open[stop:]
+            del self.open[stop:]
+            same = next((w for w in self.open if w[0] == kind and w[1] == label), None)
+            if same is not None:
+                same[3] = max(same[3], e)
+            else:
+                self.open.insert(0, [kind, label, s, e])
+        return self._rows(done)
+
+    def end(self) -> pd.DataFrame | None:
+        return self._rows(self.open)
+
+
 def merged(run_rows: DataFrame, gap: int = MERGE_GAP) -> DataFrame:
     """Runs joined to the newest open run of their kind and label, looking back until one ended over `gap` slices ago."""
-    entry = "array<struct<s:int,e:int,k:string,l:string>>"
-
-    def step(m: Column, r: Column) -> Column:
-        # The list is kept newest first: look at the leading entries that ended recently enough.
-        ends = F.transform(m, lambda x, i: F.when(r["s"] - x["e"] - 1 > gap, i))
-        stop = F.coalesce(F.array_min(ends), F.size(m))
-        hits = F.transform(m, lambda x, i: F.when((x["k"] == r["k"]) & x["l"].eqNullSafe(r["l"]) & (i < stop), i))
-        hit = F.array_min(hits)
-        longer = F.transform(m, lambda x, i: F.struct(x["s"].alias("s"), F.when(i == hit, F.greatest(x["e"], r["e"])).otherwise(x["e"]).alias("e"), x["k"].alias("k"), x["l"].alias("l")))
-        return F.when(hit.isNotNull(), longer).otherwise(F.concat(F.array(r), m))
-
-    rows = run_rows.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("s", "e", F.col("kind").alias("k"), F.col("label").alias("l")))).alias("r"))
-    folded = rows.select("name", F.aggregate("r", F.array().cast(entry), step).alias("m"))
-    return folded.select("name", F.inline("m")).select("name", F.col("k").alias("kind"), F.col("l").alias("label"), "s", "e")
+    ship(run_rows.sparkSession)
+    return scan_groups(run_rows.select("name", "kind", "label", "s", "e"), ["name"], ["s"], [], lambda g: Merger(g["name"].iat[0], gap), "name string, kind string, label string, s int, e int")
 
 
 def windows(judged: DataFrame) -> DataFrame:
