@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -20,19 +21,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Python workers live on from task to task, so they give large blocks back at once.
+_WORKERS = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "2097152", "MALLOC_TRIM_THRESHOLD_": "16777216", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+#: Spark's setting for the bytes of an Arrow batch, its default, and what long texts get here.
+_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16m")
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did."""
+    """Let Python workers import this package from where the driver did, in bounded memory."""
     env = spark.sparkContext.environment
     parts = [p for p in env.get("PYTHONPATH", "").split(":") if p]
     if _ROOT not in parts:
         env["PYTHONPATH"] = ":".join([_ROOT, *parts])
+    for k, v in _WORKERS.items():
+        env.setdefault(k, v)
+    if spark.conf.get(_BATCH[0], _BATCH[1]) == _BATCH[1]:
+        spark.conf.set(_BATCH[0], _BATCH[2])
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or (tests only) one of our own."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where there is only this machine."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='benthos-')}")
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if not where and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(where or f"file://{tempfile.mkdtemp(prefix='benthos-')}")
     return sc.getCheckpointDir()
 
 

@@ -42,7 +42,7 @@ from .base import Stored, ship, stored
 #: Weight of the unigram in the bigram's smoothing, and target ids that may be broadcast.
 PRIOR, BROADCAST_IDS = 5.0, 2_000_000
 #: Characters of a chunk, characters of the corpus for each key range, and words that a task remembers.
-CHUNK, RANGE, CACHE = 1 << 24, 1 << 23, 500_000
+CHUNK, RANGE, CACHE = 1 << 23, 1 << 23, 500_000
 START = np.uint64(0x5BD1E9955BD1E995)
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
