@@ -7,26 +7,32 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from benthos.operators import joins, reports, selection
 from benthos.functions import exprs
+from benthos.operators import choices, joins, reports, selection
 from benthos.sources import listings, parts, sinks
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser("benthos")
     sub = p.add_subparsers(dest="verb", required=True)
-    for verb, args in {"list": ["pages", "out"], "choose": ["manifest", "out"], "remaining": ["manifest", "done", "out"], "merge": ["parts", "out"], "identify": ["report", "taxonomy"], "judge": ["report"], "slim": ["report"], "page": ["report", "out"], "unreadable": ["root", "out"]}.items():
+    for verb, args in {"list": ["pages", "out"], "choose": ["manifest", "out"], "remaining": ["manifest", "done", "out"], "merge": ["parts", "out"], "identify": ["report", "taxonomy"], "judge": ["report"], "slim": ["report"], "page": ["report", "out"], "unreadable": ["root", "out"], "run": ["parts", "taxonomy", "out"], "score": ["report", "truth", "out"], "site": ["rows", "out"]}.items():
         s = sub.add_parser(verb)
         for a in args:
             s.add_argument(a)
     for name in ("dives", "per_dive", "most"):
         sub.choices["choose"].add_argument(f"--{name.replace('_', '-')}", type=int, default=0)
+    sub.choices["choose"].add_argument("--reports", help="a folder of dive reports, for how deep each dive went")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"benthos {a.verb}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.verb == "list":
         sinks.write_table(listings.links(spark.read.parquet(a.pages), "page_id", "html"), a.out)
     elif a.verb == "choose":
-        v = listings.manifest(spark, a.manifest).withColumn("dive", exprs.dive_number(F.col("url"))).withColumn("depth_m", F.lit(0.0))
+        v = listings.manifest(spark, a.manifest).withColumn("dive", exprs.dive_number(F.col("url")))
+        if a.reports:
+            texts = spark.read.option("wholetext", "true").text(a.reports).select(exprs.dive_number(F.col("_metadata.file_name")).alias("dive"), F.col("value").alias("text"))
+            v = v.join(listings.dive_summary(texts).groupBy("dive").agg(F.max("max_depth_m").alias("depth_m")), "dive", "left")
+        else:
+            v = v.withColumn("depth_m", F.lit(None).cast("double"))
         sinks.write_table(selection.choose(v, a.dives or 1_000_000, a.per_dive, a.most), a.out)
     elif a.verb == "remaining":
         done = parts.read_parts(spark, a.done).select(F.col("name").alias("stem"))
@@ -41,6 +47,14 @@ def main(argv: list[str] | None = None) -> int:
         sinks.write_report(reports.slim(spark.read.parquet(a.report)), a.report)
     elif a.verb == "page":
         sinks.write_table(reports.progress(spark.read.parquet(a.report)), a.out)
+    elif a.verb == "run":
+        sinks.write_report(reports.built(parts.read_parts(spark, a.parts), spark.read.parquet(a.taxonomy)), a.out)
+    elif a.verb == "score":
+        sinks.write_table(reports.scored(spark.read.parquet(a.report), spark.read.parquet(a.truth))[0], a.out)
+    elif a.verb == "site":
+        rows = spark.read.parquet(a.rows)
+        sinks.write_table(choices.share(rows), f"{a.out}/expeditions")
+        sinks.write_table(choices.totals(rows), f"{a.out}/totals")
     elif a.verb == "unreadable":
         sinks.write_table(parts.unreadable(spark, a.root), a.out)
     return 0

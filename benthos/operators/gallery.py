@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -143,6 +145,31 @@ def stretched(rows: DataFrame, by: str, colour: str = "rgb") -> DataFrame:
     return x.withColumn("shown", shown).drop("_k", "_lo", "_hi")
 
 
-def share_link(rows: Column) -> Column:
-    """A list of kept animals as text for an address: plain, base64 with the two address-safe signs."""
-    return F.concat(F.lit("p"), F.regexp_replace(F.translate(F.base64(F.to_json(rows).cast("binary")), "+/\r\n", "-_"), "=+$", ""))
+def share_link(rows: Column, deflate: bool = False) -> Column:
+    """A list of kept animals as text for an address: p plain or z deflated, base64 with the two address-safe signs."""
+    body = F.to_json(rows).cast("binary")
+    if deflate:
+        body = F.pandas_udf(lambda s: s.map(_deflated), "binary")(body)
+    return F.concat(F.lit("z" if deflate else "p"), F.regexp_replace(F.translate(F.base64(body), "+/\r\n", "-_"), "=+$", ""))
+
+
+def unshared(link: Column, schema: str) -> Column:
+    """The list that a link carries; null if it carries none."""
+    text = F.substr(link, F.lit(2))
+    body = F.try_to_binary(F.rpad(F.translate(text, "-_", "+/"), ((F.length(text) + 3) / 4).cast("int") * 4, F.lit("=")), F.lit("base64"))
+    plain = F.when(link.startswith("z"), F.pandas_udf(lambda s: s.map(_inflated), "binary")(body)).otherwise(body)
+    return F.from_json(plain.cast("string"), schema)
+
+
+def _deflated(b: bytes | None) -> bytes | None:
+    if b is None:
+        return None
+    z = zlib.compressobj(wbits=-15)
+    return z.compress(b) + z.flush()
+
+
+def _inflated(b: bytes | None) -> bytes | None:
+    try:
+        return None if b is None else zlib.decompress(b, wbits=-15)
+    except zlib.error:
+        return None

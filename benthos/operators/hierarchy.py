@@ -25,6 +25,12 @@ def tree(counts: DataFrame) -> DataFrame:
     return x.groupBy(path.alias("path"), parent.alias("parent"), F.get("lineage", F.col("depth") - 1).alias("name"), "depth").agg(F.sum("n").alias("count"))
 
 
+def children(nodes: DataFrame) -> DataFrame:
+    """(path, names): the names under each node, most counted first."""
+    order = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("c"), "name")))
+    return nodes.groupBy(F.col("parent").alias("path")).agg(F.transform(order, lambda v: v["name"]).alias("names"))
+
+
 def leftover(nodes: DataFrame) -> DataFrame:
     """(path, leftover): what of a node is in none of its children, where that is above 0."""
     under = nodes.groupBy(F.col("parent").alias("path")).agg(F.sum("count").alias("inner"))

@@ -110,3 +110,34 @@ def merge_over(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     j = old.select(F.col(key), F.struct(*old.columns).alias("_old")).join(n, F.col(key) == F.col("_k"), "full_outer")
     pick: Column = F.coalesce(F.col("_new"), F.col("_old"))
     return j.select(pick.alias("_p")).select("_p.*")
+
+
+def placed_moments(slices: DataFrame, starts: DataFrame, fixes: DataFrame, tolerance: float, payload: list[str], constant: DataFrame | None = None) -> DataFrame:
+    """slices (name, dim_t, fps) with recorded_at (seconds) and the payload of the nearest fix (name, at).
+
+    A slice's moment is its recording's start and dim_t / fps, the start itself without either.  A recording
+    without a start has neither moment nor place; a moment without a near fix has no place.
+    """
+    at = starts.select(F.col("name").alias("_name"), F.col("start").cast("double").alias("_start"))
+    offset = F.when(F.col("dim_t").isNotNull() & (F.col("fps") != 0), F.col("dim_t") / F.col("fps")).otherwise(0.0)
+    timed = slices.join(at, F.col("name") == F.col("_name"), "left").withColumn("recorded_at", F.col("_start") + offset).drop("_name", "_start")
+    fix = fixes.withColumnRenamed("at", "recorded_at")
+    known = asof_nearest(timed.where("recorded_at is not null"), fix, "name", "recorded_at", tolerance, payload, constant)
+    return known.unionByName(timed.where("recorded_at is null"), allowMissingColumns=True)
+
+
+def nearest_frame(found: DataFrame, annotated: DataFrame, on: list[str], fps: Column, first: int = 1) -> DataFrame:
+    """found (on, second, ...) with `frame`: the annotated frame (on, frame) nearest in time among three, ties to the earlier.
+
+    Detections without a second or rate, or over 1.5 frames off, are left out.  Three candidates a row and an equi-join.
+    """
+    middle = (F.bround(F.col("second") * F.col("_fps"), 0) + first).cast("long")
+    x = found.withColumn("_fps", fps.cast("double")).where((F.col("_fps") > 0) & F.col("second").isNotNull()).withColumn("_id", F.struct(*found.columns)).withColumn("_f", F.explode(F.array(*[middle + d for d in (-1, 0, 1)])))
+    a = annotated.select(*[F.col(c).alias(f"_{c}") for c in on], F.col("frame").cast("long").alias("_frame")).distinct()
+    cond = F.col("_f") == F.col("_frame")
+    for c in on:
+        cond &= F.col(c) == F.col(f"_{c}")
+    off = F.abs((F.col("_f") - first) / F.col("_fps") - F.col("second"))
+    w = Window.partitionBy("_id").orderBy("_off", "_f")
+    near = x.join(a, cond).withColumn("_off", off).withColumn("_r", F.row_number().over(w)).where((F.col("_r") == 1) & (F.col("_off") <= F.lit(0.5) / F.col("_fps") * 3))
+    return near.select(*found.columns, F.col("_f").alias("frame"))

@@ -270,3 +270,25 @@ def at_precision(points: DataFrame, floor: float, by: list[str]) -> DataFrame:
     ok = F.col("precision") >= floor
     best = F.max(F.when(ok, F.struct("recall", "confidence")))
     return points.groupBy(*by).agg(best.alias("b")).select(*by, F.col("b.recall").alias("recall"), F.col("b.confidence").alias("confidence"))
+
+
+def pooled(judged: DataFrame, truth: DataFrame, everything: DataFrame, floor: float) -> DataFrame:
+    """One row for all recordings together: judged (recording, conf, ord, landed_on) against truth.
+
+    truth: (recording, truth_boxes) of the frames that were looked at; everything: (recording, truth_boxes_all,
+    animals_all, frames_annotated, frames_judged).  Identities belong to a recording.  overall_at_floor is the
+    most recall at that precision, rescaled to the whole recordings.
+    """
+    hit = F.col("landed_on").isNotNull()
+    found = judged.agg(F.count("*").alias("detections"), F.count("landed_on").alias("matched"), F.count_distinct(F.when(hit, F.struct("recording", "landed_on"))).alias("animals_found"))
+    boxes = truth.agg(F.sum("truth_boxes").alias("truth_boxes"))
+    whole = everything.agg(*[F.sum(c).alias(c) for c in ("truth_boxes_all", "animals_all", "frames_annotated", "frames_judged")])
+    best = at_precision(curve(judged.select("conf", "ord", hit.alias("hit")), boxes, []), floor, [])
+    x = found.crossJoin(boxes).crossJoin(whole).crossJoin(best)  # one row each
+    part = lambda a, b: F.try_divide(F.col(a), F.col(b))
+    return x.select("detections", "matched", part("matched", "detections").alias("precision"), part("matched", "truth_boxes").alias("recall"), part("matched", "truth_boxes_all").alias("recall_overall"), part("animals_found", "animals_all").alias("recall_animals"), part("frames_judged", "frames_annotated").alias("looked_at"), F.col("recall").alias("at_floor"), overall(F.col("recall"), F.col("truth_boxes"), F.col("truth_boxes_all")).alias("overall_at_floor"))
+
+
+def overall(recall, truth_boxes, truth_boxes_all):
+    """Recall over what was looked at, as recall over the whole recording."""
+    return F.try_divide(recall * truth_boxes, F.nullif(truth_boxes_all, F.lit(0)))

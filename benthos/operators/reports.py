@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from benthos import schema
 from benthos.functions.exprs import expedition_label
-from benthos.operators import link, triage
+from benthos.operators import joins, link, triage
 from benthos.sources.parts import unify
 
 #: Columns that only hold pictures (fixed by the report layout).
@@ -87,3 +87,32 @@ def progress(report: DataFrame) -> DataFrame:
     s = sightings(report)
     t = link.animals(link.track(s.drop("stored", "frame"))).where(link.is_animal(F.col("best_taxon")))
     return t.agg(F.count_if(~F.col("vehicle")).alias("animals"), F.count_if("vehicle").alias("vehicle"), F.sum("frames").alias("sightings"), F.sort_array(F.collect_set("best_taxon")).alias("taxa"))
+
+
+def scored(report: DataFrame, truth: DataFrame, first: int = 1, min_iou: float = link.MATCH_IOU) -> tuple[DataFrame, DataFrame]:
+    """(scores, judged): a report's detections against annotated boxes (recording, frame, track, ord, x1..y2).
+
+    A detection is judged on the annotated frame nearest to its second, and only there; each box is claimed once.
+    """
+    rate = report.groupBy(F.col("name").alias("recording")).agg(F.max("fps").alias("fps"))
+    found = sightings(report).drop("stored", "frame").join(rate, "recording")
+    found = found.select("recording", "second", F.col("confidence").alias("conf"), "ord", *link.BOX, "fps")
+    at = joins.nearest_frame(found, truth, ["recording"], F.col("fps"), first)
+    judged = link.match_truth(at, truth, ["recording", "frame"], min_iou)
+    seen = judged.select("recording", "frame").distinct()
+    looked = truth.join(seen, ["recording", "frame"], "left_semi").groupBy("recording").agg(F.count("*").alias("truth_boxes"))
+    whole = truth.groupBy("recording").agg(F.count("*").alias("truth_boxes_all"), F.count_distinct("track").alias("animals_all"), F.count_distinct("frame").alias("frames_annotated"))
+    hits = judged.groupBy("recording").agg(F.count("*").alias("detections"), F.count("landed_on").alias("matched"), F.count_distinct("landed_on").alias("animals_found"), F.count_distinct("frame").alias("frames_judged"))
+    x = whole.join(looked, "recording", "left").join(hits, "recording", "left").fillna(0, ["truth_boxes", "detections", "matched", "animals_found", "frames_judged"])
+    part = lambda a, b: F.try_divide(F.col(a), F.nullif(F.col(b), F.lit(0)))
+    return x.withColumns({"precision": part("matched", "detections"), "recall": part("matched", "truth_boxes"), "recall_overall": part("matched", "truth_boxes_all"), "recall_animals": part("animals_found", "animals_all"), "looked_at": part("frames_judged", "frames_annotated")}), judged
+
+
+def built(report: DataFrame, lineages: DataFrame) -> DataFrame:
+    """A merged report made ready to read: without clip frames, its individuals named, its slices judged."""
+    return judge(identify(without_clips(report), lineages))
+
+
+def jobs_that_fit(asked: int, free_gb: float, each_gb: float = 6.0) -> int:
+    """As many recordings at once as there is memory for, one at least, never more than asked."""
+    return max(1, min(asked, int(free_gb / each_gb)))

@@ -33,3 +33,10 @@ def stream_sessions(spark, sf_dir):
 def stream_buckets(spark, sf_dir):
     b = jobs.buckets(_events(spark, sf_dir), "at", "1 day", "1 day", ["event_type"], "value")
     return _run(spark, b, "complete").select("event_type", F.col("bucket").cast("timestamp_ntz").alias("bucket"), F.round("animals", 4).alias("animals"), "slices")
+
+
+@query("SELECT user_id, count(DISTINCT event_type) AS kinds FROM events GROUP BY 1")
+def stream_first_seen(spark, sf_dir):
+    """Each user's kinds of event, each seen once."""
+    e = _events(spark, sf_dir).withColumn("key", F.concat_ws("|", "user_id", "event_type"))
+    return _run(spark, jobs.first_seen(e, "key", "at", "1 day"), "append").groupBy("user_id").agg(F.count("*").alias("kinds"))

@@ -29,26 +29,26 @@ def page_links(spark, sf_dir):
 
 
 @query(r"""SELECT p_partkey, name, CASE WHEN note <> '' THEN note END AS note, CASE WHEN contains(note, '-') THEN trim(split_part(note, '-', 1)) END AS half, nullif(regexp_extract(note, '^\s*(\S+)', 1), '') AS first
-FROM (SELECT p_partkey, name, trim(regexp_replace(name, '\s*\b(complex|spp?\.?|sp\.)\b\s*$', '')) AS note FROM (SELECT p_partkey, concat(p_name, '-', p_type, CASE WHEN p_partkey % 3 = 0 THEN ' complex' WHEN p_partkey % 3 = 1 THEN ' spp' ELSE '' END) AS name FROM part))""")
+FROM (SELECT p_partkey, name, CASE WHEN p_partkey % 3 = 0 THEN left(name, length(name) - 8) WHEN p_partkey % 3 = 1 THEN left(name, length(name) - 4) ELSE name END AS note FROM (SELECT p_partkey, concat(p_name, '-', p_type, CASE WHEN p_partkey % 3 = 0 THEN ' complex' WHEN p_partkey % 3 = 1 THEN ' spp' ELSE '' END) AS name FROM part))""")
 def name_candidates(spark, sf_dir):
     p = read(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit("-"), "p_type", F.when(F.col("p_partkey") % 3 == 0, " complex").when(F.col("p_partkey") % 3 == 1, " spp").otherwise("")).alias("name"))
-    note = F.trim(F.regexp_replace("name", r"\s*\b(complex|spp?\.?|sp\.)\b\s*$", ""))
+    note = F.left("name", F.length("name") - F.when(F.col("p_partkey") % 3 == 0, 8).when(F.col("p_partkey") % 3 == 1, 4).otherwise(0))
     p = p.withColumn("c", x.candidates(F.col("name"))).withColumn("note", note)
     has = lambda v: F.when(F.array_contains("c", v), v)  # noqa: E731  every part must be among the candidates
     return p.select("p_partkey", "name", has(F.col("note")).alias("note"), has(F.trim(F.split("note", "-")[0])).alias("half"), has(F.regexp_extract("note", r"^\s*(\S+)", 1)).alias("first"))
 
 
-@query("""SELECT o_orderkey, name, try_strptime(nullif(regexp_extract(name, '_([0-9]{8}T[0-9]{6})', 1), ''), '%Y%m%dT%H%M%S') AS at, CAST(regexp_extract(name, '(?i)DIVE0*([0-9]+)', 1) AS INT) AS dive
+@query("""SELECT o_orderkey, name, try_strptime(nullif(regexp_extract(name, '_([0-9]{8}T[0-9]{6})', 1), ''), '%Y%m%dT%H%M%S') AS at, CAST(regexp_extract(name, '(?i)dive([0-9]+)', 1) AS INT) AS dive
 FROM (SELECT o_orderkey, concat('EX_Dive0', CAST(o_custkey % 90 AS VARCHAR), '_', strftime(o_orderdate, '%Y%m%d'), 'T', CASE WHEN o_orderkey % 9 = 0 THEN '250000' ELSE '123456' END, 'Z.mp4') AS name FROM orders)""")
 def name_stamps(spark, sf_dir):
     o = read(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("EX_Dive0"), (F.col("o_custkey") % 90).cast("string"), F.lit("_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("T"), F.when(F.col("o_orderkey") % 9 == 0, "250000").otherwise("123456"), F.lit("Z.mp4")).alias("name"))
     return o.select("o_orderkey", "name", x.recorded_at(F.col("name")).alias("at"), x.dive_number(F.col("name")).alias("dive"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN length(n) > 34 THEN concat(d, ' ', rtrim(substring(n, 1, 33)), '…') ELSE concat(d, ' ', n) END AS label FROM (SELECT o_orderkey, d, regexp_replace(trim(split_part(t, ':', 1)), '[,\\s]+(19|20)[0-9]{2}(\\s*[-–]\\s*(19|20)[0-9]{2})?$', '') AS n
-FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS d, concat(o_orderpriority, ' of a long expedition ', CAST(o_custkey AS VARCHAR), ' ', strftime(o_orderdate, '%Y'), ': more') AS t FROM orders))""")
+@query("""SELECT o_orderkey, CASE WHEN length(n) > 34 THEN concat(d, ' ', rtrim(substring(n, 1, 33)), '…') ELSE concat(d, ' ', n) END AS label FROM (SELECT o_orderkey, d, left(split_part(t, ':', 1), length(split_part(t, ':', 1)) - CASE WHEN o_custkey % 2 = 0 THEN 12 ELSE 6 END) AS n
+FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS d, concat(o_orderpriority, ' of a long expedition ', CAST(o_custkey AS VARCHAR), CASE WHEN o_custkey % 2 = 0 THEN ' 1990 - ' ELSE ', ' END, strftime(o_orderdate, '%Y'), ': more') AS t, o_custkey FROM orders))""")
 def expedition_labels(spark, sf_dir):
-    t = F.concat("o_orderpriority", F.lit(" of a long expedition "), F.col("o_custkey").cast("string"), F.lit(" "), F.date_format("o_orderdate", "yyyy"), F.lit(": more"))
+    t = F.concat("o_orderpriority", F.lit(" of a long expedition "), F.col("o_custkey").cast("string"), F.when(F.col("o_custkey") % 2 == 0, " 1990 - ").otherwise(", "), F.date_format("o_orderdate", "yyyy"), F.lit(": more"))
     return read(spark, sf_dir, "orders").select("o_orderkey", x.expedition_label(t, F.date_format("o_orderdate", "yyyy-MM")).alias("label"))
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from benthos.operators import choices, link, triage
 from benthos.operators import gallery as g
-from benthos.operators import link, triage
 
 from . import adapt
 from .adapt import SIGHTINGS, SLICES, TAXONOMY, read, with_sql
 from .registry import query
-from .timelines import _E, _events, rec_sql
+from .timelines import _E, _J, _events, rec_sql
 
 STEP = "CASE WHEN slices > 1 THEN greatest(CAST(floor((to_t - from_t) / (slices - 1) + 0.5) AS BIGINT), 1) ELSE 1 END"
 
@@ -108,28 +108,52 @@ def animals_at_moment(spark, sf_dir):
     return adapt.sightings(spark, sf_dir).groupBy("recording", "second").agg(F.count_distinct(F.struct(*link.BOX)).alias("boxes"), F.count_distinct("taxon").alias("species"))
 
 
-@query(with_sql(SIGHTINGS) + f"SELECT taxon, count(*) AS sightings FROM sightings WHERE lower(trim(taxon)) NOT IN ({', '.join(repr(x) for x in link.NOT_ANIMAL)}) AND confidence >= 0.25 GROUP BY 1")
+@query(with_sql(SIGHTINGS) + f"SELECT taxon, count(*) AS sightings FROM sightings WHERE lower(trim(taxon)) NOT IN ({', '.join(repr(x) for x in link.NOT_ANIMAL)}) AND (confidence >= 0.25 OR x1 % 9 = 0 OR x1 % 10 = 0) GROUP BY 1")
 def animals_above_floor(spark, sf_dir):
-    s = adapt.sightings(spark, sf_dir)
-    return s.where(link.is_animal(F.col("taxon")) & (F.col("confidence") >= 0.25)).groupBy("taxon").agg(F.count("*").alias("sightings"))
+    """Sightings over a floor; those without a confidence pass."""
+    c = F.when(F.col("x1") % 9 == 0, None).when(F.col("x1") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("confidence"))
+    s = adapt.sightings(spark, sf_dir).withColumn("confidence", c)
+    return s.where(link.is_animal(F.col("taxon")) & choices.above(F.col("confidence"), 0.25)).groupBy("taxon").agg(F.count("*").alias("sightings"))
+
+
+def _greedy(same: str) -> str:
+    """`leaders`: the rows of each moment, surest first, that no earlier leader is the same as. same: SQL over k and o."""
+    return f"""ranked AS (SELECT *, row_number() OVER (PARTITION BY recording, second ORDER BY confidence DESC, ord) AS r FROM sightings),
+walk AS (SELECT recording, second, 0::BIGINT AS r, []::STRUCT(ord VARCHAR, r BIGINT, x1 INT, y1 INT, x2 INT, y2 INT)[] AS kept FROM (SELECT DISTINCT recording, second FROM sightings)
+  UNION ALL SELECT w.recording, w.second, o.r, CASE WHEN len(list_filter(w.kept, lambda k: {same})) = 0 THEN list_append(w.kept, struct_pack(ord := o.ord, r := o.r, x1 := o.x1, y1 := o.y1, x2 := o.x2, y2 := o.y2)) ELSE w.kept END FROM walk w JOIN ranked o ON o.recording = w.recording AND o.second = w.second AND o.r = w.r + 1),
+leaders AS (SELECT recording, second, unnest(arg_max(kept, r)) AS k FROM walk GROUP BY recording, second)"""
+
 
+_BOTH = "(greatest(0, least(k.x2, o.x2) - greatest(k.x1, o.x1)) * greatest(0, least(k.y2, o.y2) - greatest(k.y1, o.y1)))"
+_SIZE = "(({t}.x2 - {t}.x1) * ({t}.y2 - {t}.y1))"
+_OVER = f"{_BOTH}::DOUBLE / ({_SIZE.format(t='k')} + {_SIZE.format(t='o')} - {_BOTH})"
+_FUSED = f"({_OVER} >= 0.45::DOUBLE OR {_BOTH}::DOUBLE / least({_SIZE.format(t='k')}, {_SIZE.format(t='o')}) >= 0.7::DOUBLE)"
 
-@query()
+
+@query(rec_sql(SIGHTINGS, _greedy(_FUSED)) + f"""SELECT recording, second, label, count(*) AS votes, round(sum(c) / 3, 5) AS confidence, x1, y1, x2, y2
+FROM (SELECT recording, second, first, pass, max(confidence) AS c, any_value(label) AS label, any_value(x1) AS x1, any_value(y1) AS y1, any_value(x2) AS x2, any_value(y2) AS y2
+  FROM (SELECT o.recording, o.second, o.x1 % 3 AS pass, o.confidence, arg_min(l.k.ord, l.k.r) AS first, arg_min(t.taxon, l.k.r) AS label, arg_min(l.k.x1, l.k.r)::DOUBLE AS x1, arg_min(l.k.y1, l.k.r)::DOUBLE AS y1, arg_min(l.k.x2, l.k.r)::DOUBLE AS x2, arg_min(l.k.y2, l.k.r)::DOUBLE AS y2
+    FROM ranked o JOIN (SELECT recording, second, k FROM leaders) l ON l.recording = o.recording AND l.second = o.second AND l.k.r <= o.r JOIN ranked t ON t.recording = l.recording AND t.second = l.second AND t.r = l.k.r
+    WHERE l.k.r = o.r OR {_FUSED.replace("k.", "l.k.")} GROUP BY o.recording, o.second, o.r, o.x1, o.confidence) GROUP BY recording, second, first, pass) GROUP BY recording, second, first, label, x1, y1, x2, y2""")
 def fused_passes(spark, sf_dir):
-    """Boxes of one moment as passes over one frame; greedy grouping is not SQL, tests hold it to small cases."""
+    """Boxes of one moment as three passes over one frame."""
     s = adapt.sightings(spark, sf_dir).withColumn("pass_no", F.pmod(F.col("x1"), F.lit(3)))
     return link.fuse_passes(s, 3, ["recording", "second"])
 
 
-@query()
+@query(rec_sql(SIGHTINGS, _greedy(f"{_OVER} >= 0.3::DOUBLE")) + "SELECT recording, second, k.ord AS ord FROM leaders")
 def distinct_individuals(spark, sf_dir):
     return link.distinct_individuals(adapt.sightings(spark, sf_dir), ["recording", "second"]).select("recording", "second", "ord")
 
 
-@query()
+_SECONDS = ", ".join(f"count(*) FILTER (WHERE verdict='{v}')::DOUBLE AS verdict_seconds_{v}" for v in triage.VERDICTS)
+
+
+@query(with_sql(*_J) + f"""SELECT s.name, s.dim_t, 1 AS obs_level, verdict AS slice_verdict, NULL::DOUBLE AS footage_seconds, {", ".join(f"NULL::DOUBLE AS verdict_seconds_{v}" for v in triage.VERDICTS)} FROM slices s LEFT JOIN judged j ON j.name = s.name AND j.t = s.dim_t
+UNION ALL SELECT name, NULL, 0, NULL, count(*)::DOUBLE, {_SECONDS} FROM judged GROUP BY name""")
 def judged_report(spark, sf_dir):
     """Slices and recording rows with the verdict columns written back."""
     s = adapt.slices(spark, sf_dir)
     rec = s.groupBy("name").agg(F.first("expedition").alias("expedition")).select("name", "expedition", F.lit(0).alias("obs_level"))
     report = s.unionByName(rec, allowMissingColumns=True)
-    return triage.describe(report, triage.verdicts(triage.timeline(s)))
+    return triage.describe(report, triage.verdicts(triage.timeline(s))).select("name", "dim_t", "obs_level", "slice_verdict", "footage_seconds", *[f"verdict_seconds_{v}" for v in triage.VERDICTS])

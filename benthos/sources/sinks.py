@@ -64,6 +64,21 @@ def sightings_csv(s: DataFrame) -> DataFrame:
     return s.select("recording", F.format_string("%.2f", sec).alias("second"), x.timecode(sec).alias("timecode"), "frame", "taxon", F.format_string("%.3f", "confidence").alias("confidence"), "x1", "y1", "x2", "y2")
 
 
+def keyed_sightings(s: DataFrame) -> DataFrame:
+    """Sightings under the report's own keys (name, dim_t), so that they join straight to its slices."""
+    return s.select(F.col("recording").alias("name"), F.col("slice_t").alias("dim_t"), "frame", "second", x.timecode(F.col("second")).alias("timecode"), "taxon", "confidence", "x1", "y1", "x2", "y2", "crop")
+
+
+def write_sightings(s: DataFrame, path: str) -> None:
+    replace(keyed_sightings(s), path)
+
+
+def page_blobs(tiles: DataFrame, picture: str, by: list[str], order: list[str]) -> DataFrame:
+    """(by, lengths, blob): the pictures of each tile page one after another, and how long each is. A page has PAGE tiles at most."""
+    p = F.transform(F.sort_array(F.collect_list(F.struct(*order, F.coalesce(F.col(picture), F.lit(b"")).alias("p")))), lambda v: v["p"])
+    return tiles.groupBy(*by).agg(p.alias("p")).select(*by, F.transform("p", F.octet_length).alias("lengths"), F.aggregate("p", F.lit(b""), lambda a, v: F.concat(a, v)).alias("blob"))
+
+
 def events_csv(events: DataFrame, fps: Column) -> DataFrame:
     """Columns of the event list for annotation tools; missing numbers are empty."""
     rate = F.when(fps != 0, fps).otherwise(1.0)

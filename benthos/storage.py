@@ -9,10 +9,15 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir as the session has it; one of our own only where it is unset, as in tests."""
+    """spark.checkpoint.dir as the session has it; one of our own only where there is no other machine, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='benthos-')}")
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if not where and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not where and sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir: executors have folders of their own")
+        sc.setCheckpointDir(where or f"file://{tempfile.mkdtemp(prefix='benthos-')}")
     return sc.getCheckpointDir()
 
 
