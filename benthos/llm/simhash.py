@@ -229,6 +229,7 @@ def links(reps: DataFrame, tau: int = 3) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = 3, size: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) of every row.
 
+    A doc_id is one node: an id with several texts joins their components.
     Null or wordless texts have fingerprint 0 and link like any other; repeated rows come back as
     often as they went in; a null doc_id comes back with the component of its fingerprint's class;
     an empty table gives an empty result.
