@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: Python workers live on from task to task, so they give large blocks back at once.
 _WORKERS = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "2097152", "MALLOC_TRIM_THRESHOLD_": "16777216", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 #: Spark's setting for the bytes of an Arrow batch, its default, and what long texts get here.
-_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "16m")
+_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m")
 
 
 def ship(spark: SparkSession) -> None:

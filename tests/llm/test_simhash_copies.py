@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 import corpus_pipeline as cp
-from benthos.llm import jaccard
+from benthos.llm import simhash_copies
 
 
 def grams(text):
@@ -46,7 +46,7 @@ def corpus():
 def test_same_groups_as_all_pairs(spark):
     rows = corpus()
     want = brute(rows)
-    out = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    out = simhash_copies.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert {r["doc_id"]: r["component_id"] for r in out.collect()} == want
     assert 40 < len(set(want.values())) < len(rows) - 60
 
@@ -64,19 +64,19 @@ def test_the_stage_drops_copies_at_0_8_and_keeps_the_rest(spark):
 def test_crowded_keys_are_split_without_losing_links(spark, monkeypatch):
     rows = corpus()[:120]
     want = brute(rows)
-    monkeypatch.setattr(jaccard, "BLOCK", 40)
-    monkeypatch.setattr(jaccard, "SET_BLOCK", 3)
-    monkeypatch.setattr(jaccard, "STEP", 4)
-    monkeypatch.setattr(jaccard, "ROOM", 8)
-    out = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    monkeypatch.setattr(simhash_copies, "BLOCK", 40)
+    monkeypatch.setattr(simhash_copies, "SET_BLOCK", 3)
+    monkeypatch.setattr(simhash_copies, "STEP", 4)
+    monkeypatch.setattr(simhash_copies, "ROOM", 8)
+    out = simhash_copies.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert {r["doc_id"]: r["component_id"] for r in out.collect()} == want
 
 
 def test_shared_counts(monkeypatch):
     rng = random.Random(5)
     sets = [np.unique(np.array([rng.randrange(60) for _ in range(rng.randint(1, 50))], np.uint64)) for _ in range(9)]
-    monkeypatch.setattr(jaccard, "COLUMNS", 7)
-    got = jaccard.shared(sets)
+    monkeypatch.setattr(simhash_copies, "COLUMNS", 7)
+    got = simhash_copies.shared(sets)
     for i, a in enumerate(sets):
         for j, b in enumerate(sets):
             if i != j:
