@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from benthos.llm import decontam, jaccard, packing, pii, toxicity
+from benthos.llm import decontam, packing, pii, simhash_copies, toxicity
 from benthos.llm.base import Stored, keyed, stored, table, text_hash
 
 
@@ -19,9 +19,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group (five-word Jaccard similarity of 0.8 at least) stays: the least doc_id, null last."""
+    """One row of each group stays, the least doc_id, null last: SimHash finds near copies, five-word similarity of 0.8 decides."""
     key = ["doc_id", "text_hash"]
-    found = stored(jaccard.near_duplicates(docs), "dedup")
+    found = stored(simhash_copies.near_duplicates(docs), "dedup")
     rows = stored(found.groupBy("group_id", *key).count(), "deduprows")
     kept = stored(rows.groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), *key, "count")).alias("k")).select("k.doc_id", "k.text_hash", "k.count"), "dedupkept")
     k = kept.toDF("_id", "_hash", "_n")
