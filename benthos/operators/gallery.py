@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from benthos.functions.exprs import clock, nearest_rank
 
+#: Fixed: the frame of an expedition that says none.
+FRAME = (16, 9)
 # Fixed values of the gallery.
 STILLS, SLICES, A_LOOK, A_STRIDE, SHARE = 6, 400, 0.7, 2.5, 0.06
 
@@ -81,6 +83,23 @@ def found_again(shares: DataFrame, reels: DataFrame) -> DataFrame:
     return x.groupBy(*shares.columns).agg(best["ord"].alias("found"))
 
 
+def where_from(animals: DataFrame, videos: DataFrame, frames: DataFrame, terms: DataFrame) -> DataFrame:
+    """animals (expedition, recording, ...) with url, frame, credit and licence: the archive's file of their recording, the
+    frame that its boxes are measured in (FRAME if unknown), and the terms of its expedition (empty if none).
+
+    videos: (expedition, stem, url), the longest stem that a recording starts with; frames: (expedition, frame); terms:
+    (expedition, credit, licence).
+    """
+    from benthos.operators.joins import longest_prefix, lookup
+
+    name = F.concat_ws("/", "expedition", "recording")
+    stems = videos.groupBy(F.concat_ws("/", "expedition", "stem").alias("_stem")).agg(F.min("url").alias("url"))
+    urls = longest_prefix(animals.select(name.alias("_name")).distinct(), stems.withColumnRenamed("_stem", "_s"), "_name", "_s").select("_name", "url")
+    x = animals.withColumn("_name", name).join(urls, "_name", "left").drop("_name")
+    x = x.join(frames, "expedition", "left").withColumn("frame", F.coalesce("frame", F.array(*map(F.lit, FRAME))))
+    return lookup(x, terms, "expedition", {"credit": "", "licence": "", "url": ""})
+
+
 def interleaved(pages: DataFrame) -> DataFrame:
     """pages (taxon, pages, pos) -> (taxon, page, n): page 0 of every taxon, then page 1 ...
 

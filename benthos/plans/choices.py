@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from benthos.functions import exprs as x
 from benthos.operators import choices as c
-from benthos.operators import hierarchy, joins, link, triage
+from benthos.operators import gallery, hierarchy, joins, link, triage
 from benthos.operators import rollups as r
 from benthos.sources import sinks
 
@@ -179,6 +179,22 @@ def page_blobs(spark, sf_dir):
     return b.select("taxon", "page", F.size("lengths").cast("bigint").alias("tiles"), F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, v: a + v).alias("bytes"), F.md5("blob").alias("digest"))
 
 
+@query("""WITH v AS (SELECT s_nationkey AS e, concat('c_', CAST(s_suppkey % 4 AS VARCHAR), CASE WHEN s_suppkey % 3 = 0 THEN '_x' ELSE '' END) AS stem, min(concat('http://h/', s_name)) AS url FROM supplier GROUP BY 1, 2),
+a AS (SELECT c_custkey, c_nationkey AS e, concat('c_', CAST(c_custkey % 5 AS VARCHAR), '_x_1') AS recording FROM customer),
+j AS (SELECT a.*, v.url, row_number() OVER (PARTITION BY c_custkey ORDER BY length(stem) DESC) AS n FROM a LEFT JOIN v ON v.e = a.e AND (recording = stem OR starts_with(recording, concat(stem, '_')) OR starts_with(recording, concat(stem, '-'))))
+SELECT c_custkey, coalesce(url, '') AS url, CASE WHEN e % 2 = 0 THEN 640 ELSE 16 END AS wide, CASE WHEN e % 3 = 0 THEN r_name ELSE '' END AS credit FROM j JOIN nation ON n_nationkey = e JOIN region ON r_regionkey = n_regionkey WHERE n = 1""")
+def sources_of_animals(spark, sf_dir):
+    """Each animal's file in the archive, frame and terms."""
+    e = lambda c: F.col(c).cast("string").alias("expedition")
+    s = read(spark, sf_dir, "supplier")
+    videos = s.select(e("s_nationkey"), F.concat(F.lit("c_"), (F.col("s_suppkey") % 4).cast("string"), F.when(F.col("s_suppkey") % 3 == 0, "_x").otherwise("")).alias("stem"), F.concat(F.lit("http://h/"), "s_name").alias("url"))
+    n = read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    frames = n.where("n_nationkey % 2 = 0").select(e("n_nationkey"), F.array(F.lit(640), F.lit(360)).alias("frame"))
+    terms = n.where("n_nationkey % 3 = 0").select(e("n_nationkey"), F.col("r_name").alias("credit"), F.lit("CC").alias("licence"))
+    a = read(spark, sf_dir, "customer").select("c_custkey", e("c_nationkey"), F.concat(F.lit("c_"), (F.col("c_custkey") % 5).cast("string"), F.lit("_x_1")).alias("recording"))
+    return gallery.where_from(a, videos, frames, terms).select("c_custkey", "url", F.get("frame", 0).alias("wide"), "credit")
+
+
 # --- totals -----------------------------------------------------------------------------------
 
 _ROWS = "rows AS (SELECT c_nationkey AS id, count(*) AS listed, count(*) FILTER (WHERE c_acctbal > 0 AND c_nationkey % 6 <> 0) AS processed, CAST(sum(c_custkey % 100) AS BIGINT) AS seconds, CAST(sum(c_custkey % 7) AS BIGINT) AS animals, count(*) FILTER (WHERE c_custkey % 7 > 0) AS with_animals, list(DISTINCT c_mktsegment) AS taxa FROM customer GROUP BY 1)"

@@ -40,10 +40,14 @@ def interval_join(spark, sf_dir):
 
 @query(with_sql(SIGHTINGS) + "SELECT a.ord, count(*) AS near, count(*) FILTER (WHERE b.taxon = a.taxon) AS same FROM sightings a JOIN sightings b ON a.recording = b.recording AND abs(a.second - b.second) < 0.06 WHERE a.is_truth GROUP BY a.ord")
 def band_join(spark, sf_dir):
-    """Detections within 0.06 s of each truth box, by a bucketed equi-join."""
+    """Detections within 0.06 s of each truth box. Moments are counted first, so boxes never meet boxes."""
     s = adapt.sightings(spark, sf_dir).select("recording", "second", "taxon", "ord", "is_truth")
-    x = joins.band(s.where("is_truth"), s.select("recording", "second", "taxon"), ["recording"], "second", 0.06)
-    return x.groupBy("ord").agg(F.count("*").alias("near"), F.count_if(F.col("taxon") == F.col("r_taxon")).alias("same"))
+    asked = s.where("is_truth").select("recording", "second", "taxon").distinct()
+    all_of = s.groupBy("recording", "second").agg(F.count("*").alias("n"))
+    alike = s.groupBy("recording", "taxon", "second").agg(F.count("*").alias("n"))
+    near = joins.band(asked.select("recording", "second").distinct(), all_of, ["recording"], "second", 0.06).groupBy("recording", "second").agg(F.sum("r_n").alias("near"))
+    same = joins.band(asked, alike, ["recording", "taxon"], "second", 0.06).groupBy("recording", "second", "taxon").agg(F.sum("r_n").alias("same"))
+    return s.where("is_truth").join(near, ["recording", "second"]).join(same, ["recording", "second", "taxon"]).select("ord", "near", "same")
 
 
 @query(with_sql(SLICES) + """, names AS (SELECT DISTINCT concat(name, '_', CAST(dim_t % 7 AS VARCHAR), '-a') AS name FROM slices), stems AS (SELECT DISTINCT name AS stem FROM slices UNION SELECT DISTINCT concat(name, '_', CAST(dim_t % 7 AS VARCHAR)) FROM slices WHERE detection_count > 0 UNION SELECT 'rec')
