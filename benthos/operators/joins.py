@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from heapq import heappop, heappush
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,20 +41,67 @@ def asof_nearest(left: DataFrame, right: DataFrame, key: str, at: str, tolerance
     return out.join(always, F.col(key) == F.col("_key"), "left").select(*left.columns, *[F.when(hit, F.col(c)).otherwise(F.col(f"_c.{c}")).alias(c) for c in payload])
 
 
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bounds in order -> those after which another interval is the first open one, `_rank` being its rank or null."""
+    heap, ended, said = [], set(), None
+    for b in batches:
+        keep, first = [], []
+        ranks, opens, new, last = (b.column(c).to_pylist() for c in ("_rank", "_opens", "_new", "_last"))
+        for i, rank in enumerate(ranks):
+            if new[i]:
+                heap, ended, said = [], set(), None
+            if opens[i]:
+                heappush(heap, rank)
+            else:
+                ended.add(rank)
+            if last[i]:
+                while heap and heap[0] in ended:
+                    ended.remove(heappop(heap))
+                top = heap[0] if heap else None
+                if top != said:
+                    keep.append(i)
+                    first.append(top)
+                    said = top
+        out = b.drop_columns(["_rank", "_opens", "_new", "_last"]).take(pa.array(keep, pa.int64()))
+        yield out.append_column("_rank", pa.array(first, pa.int64()))
+
+
 def interval_first(left: DataFrame, right: DataFrame, at: str, start: str, stop: str, by: list[str], keys: list[str], on: list[str] | None = None) -> DataFrame:
     """Each left row with the first right row (by `by`, nulls last) whose [start, stop] holds `at`; a null stop is open.
 
-    `keys` identify left rows; `on` are equi-keys that both sides share.  The first is an aggregate that
-    starts before the shuffle, so overlapping intervals never pile up.
+    `keys` identify left rows; `on` are equi-keys that both sides share.  No pair is made: a sweep over the
+    bounds of each key says which interval is the first from when on, a running window answers each distinct
+    (key, at) once, and left rows meet one answer at most.
     """
-    cond = (F.col(f"l.{at}") >= F.col(f"r.{start}")) & (F.col(f"r.{stop}").isNull() | (F.col(f"l.{at}") <= F.col(f"r.{stop}")))
-    for c in on or []:
-        cond = (F.col(f"l.{c}") == F.col(f"r.{c}")) & cond
-    extra = [c for c in right.columns if c not in (on or [])]
-    order = [x for b in by for x in (F.col(f"r.{b}").isNull().alias(f"_n{b}"), F.col(f"r.{b}").alias(f"_o{b}"))]
-    j = left.alias("l").join(right.alias("r"), cond, "left")
-    g = j.groupBy(*[F.col(f"l.{k}").alias(f"_k{k}") for k in keys]).agg(F.any_value(F.struct("l.*")).alias("_l"), F.min(F.struct(*order, F.struct(*[F.col(f"r.{c}") for c in extra]).alias("_r")))["_r"].alias("_r"))
-    return g.select("_l.*", *[F.col(f"_r.{c}").alias(c) for c in extra])
+    on = on or []
+    extra = [c for c in right.columns if c not in on]
+    order = [x for b in by for x in (F.col(b).isNull().alias(f"_n{b}"), F.col(b).alias(f"_o{b}"))]
+    same = [f"_on{i}" for i in range(len(on))] or ["_on"]
+    keyed = lambda df: df.select("*", *([F.col(c).alias(s) for c, s in zip(on, same, strict=False)] or [F.lit(0).alias("_on")])).where(" and ".join(f"{s} is not null" for s in same))
+
+    some = keyed(right).where(F.col(start).isNotNull() & (F.col(stop).isNull() | (F.col(start) <= F.col(stop))))
+    some = some.select(*same, F.col(start).alias("_start"), F.col(stop).alias("_stop"), F.struct(*order, F.struct(*extra).alias("_r")).alias("_o"))
+    ranked = some.withColumn("_rank", F.row_number().over(Window.partitionBy(*same).orderBy("_o")).cast("long"))
+
+    bound = lambda t, side: F.struct(F.col(t).alias("_t"), F.lit(side).alias("_side"), F.lit(side == 0).alias("_opens"))  # noqa: E731  left rows are side 1
+    bounds = ranked.select(*same, "_rank", F.explode(F.array(bound("_start", 0), bound("_stop", 2))).alias("_b")).select(*same, "_b.*", "_rank").where("_t is not null")
+    w = Window.partitionBy(*same).orderBy("_t", "_side")
+    here, after = F.struct("_t", "_side"), F.lead(F.struct("_t", "_side")).over(w)
+    bounds = bounds.withColumn("_new", F.row_number().over(w) == 1).withColumn("_last", ~here.eqNullSafe(after)).sortWithinPartitions(*same, "_t", "_side")
+    kept = [f for f in bounds.schema if f.name in (*same, "_t", "_side")]
+    firsts = bounds.mapInArrow(_sweep, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*kept, bounds.schema["_rank"]]))
+
+    asked = keyed(left).select(*same, F.col(at).alias("_at")).where("_at is not null").distinct()
+    both = asked.select(*same, "_at", F.col("_at").alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast("struct<r: bigint>").alias("_f")).unionByName(firsts.select(*same, F.lit(None).cast(asked.schema["_at"].dataType).alias("_at"), "_t", "_side", F.struct(F.col("_rank").alias("r")).alias("_f")))
+    told = both.withColumn("_f", F.last("_f", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).where("_side = 1 and _f.r is not null").select(*same, "_at", F.col("_f.r").alias("_rank"))
+    told = told.join(ranked.select(*same, "_rank", "_o"), [*same, "_rank"]).drop("_rank")
+
+    cond = F.col(f"l.{at}") == F.col("r._at")
+    for c, s in zip(on, same, strict=False):
+        cond &= F.col(f"l.{c}") == F.col(f"r.{s}")
+    j = left.alias("l").join(told.alias("r"), cond, "left")
+    g = j.groupBy(*[F.col(f"l.{k}").alias(f"_k{k}") for k in keys]).agg(*[F.any_value(F.col(f"l.{c}")).alias(c) for c in left.columns], F.min("r._o").alias("_o"))
+    return g.select(*left.columns, *[F.col(f"_o._r.{c}").alias(c) for c in extra])
 
 
 def band(left: DataFrame, right: DataFrame, on: list[str], value: str, width: float) -> DataFrame:

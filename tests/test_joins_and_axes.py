@@ -36,6 +36,32 @@ def test_interval_first_and_open_end(spark):
     assert got == {1: 1, 2: 2, 3: None}
 
 
+def test_interval_first_against_every_pair(spark):
+    rng = random.Random(5)
+    some = lambda v: rng.choice([v, v, v, v, None])
+    left = [(i, some(rng.choice("abc")), some(rng.randint(0, 40))) for i in range(400)] + [(7, "b", 9), (None, "a", 3), (None, "c", 30)]
+    right = [(some(rng.randint(0, 9)), some(rng.choice("abd")), some(s := rng.randint(0, 40)), some(s + rng.randint(-3, 12)), i) for i in range(60)]
+    a = spark.createDataFrame(left, "id long, k string, at long").repartition(3)
+    b = spark.createDataFrame(right, "no long, k string, start long, stop long, i long")
+
+    def first(keys, use):
+        hits = [(r[0] is None, r[0] or 0, r[2], r[3] is not None, r[3] or 0, r[4]) for _, k, at in keys for r in right if at is not None and r[2] is not None and (not use or (k is not None and k == r[1])) and r[2] <= at and (r[3] is None or at <= r[3])]
+        return min(hits)[-1] if hits else None
+
+    for on in (["k"], None):
+        right_of = b if on else b.drop("k")
+        got = [(r["id"], r["i"]) for r in joins.interval_first(a, right_of, "at", "start", "stop", ["no"], ["id"], on).collect()]
+        ids = {x[0] for x in left}
+        assert len(got) == len(ids) and dict(got) == {i: first([x for x in left if x[0] == i], on) for i in ids}
+
+
+def test_interval_first_of_dates_and_far_ends(spark):
+    a = spark.sql("select 1L as id, date'2020-01-02' as at union all select 2L, date'2031-01-01'")
+    b = spark.sql("select 'x' as no, timestamp_ntz'2020-01-02 00:00:00' as start, timestamp_ntz'9999-12-31 00:00:00' as stop union all select 'a', timestamp_ntz'2030-01-01 00:00:00', null")
+    got = joins.interval_first(a, b, "at", "start", "stop", ["no"], ["id"]).select("id", "no").collect()
+    assert {r["id"]: r["no"] for r in got} == {1: "x", 2: "a"}
+
+
 def test_spread_and_bottom(spark):
     items = spark.createDataFrame([(f"{i:03d}", 1) for i in range(100)], "url string, dive int")
     picked = sorted(r["url"] for r in selection.spread(items, 5, ["dive"], ["url"]).collect())

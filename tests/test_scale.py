@@ -43,6 +43,14 @@ def test_constant_places_answer_always(spark):
     assert got == {("k", 5.0): "track", ("k", 500.0): "mooring", ("m", 1.0): None, (None, 1.0): None}
 
 
+def test_intervals_that_all_overlap(spark):
+    n = 20_000
+    left = spark.range(ROWS).select(F.lit("k").alias("k"), (F.col("id") % n).alias("at"), "id")
+    right = spark.range(n).select(F.lit("k").alias("k"), (n - F.col("id")).alias("no"), F.col("id").alias("start"), F.lit(None).cast("long").alias("stop"))
+    took, out = seconds(lambda: joins.interval_first(left, right, "at", "start", "stop", ["no"], ["id"], ["k"]).agg(F.count("no"), F.sum((F.col("no") != n - F.col("at")).cast("int"))).first())
+    assert tuple(out) == (ROWS, 0) and took < 30  # a billion pairs
+
+
 def test_boxes_of_one_animal(spark):
     looks = spark.range(ROWS).select(F.lit("k").alias("k"), (F.col("id") * 1.0).alias("second"), *[F.col("id").cast("double").alias(c) for c in link.BOX])
     moments = spark.range(ROWS).select(F.lit("k").alias("k"), (F.col("id") + 0.5).alias("now"))
