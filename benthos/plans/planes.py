@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from benthos.operators import raster
@@ -54,6 +58,8 @@ def colour_spread(spark, sf_dir):
 # --- planes drawn by rule, one stack for each supplier -----------------------------------------
 
 SIDE, FRAMES, BAND = 32, 10, 48
+#: Stacks that are drawn at once; one has 45 KB.
+DRAWN = 64
 
 
 def _plane(spark, sf_dir):
@@ -98,14 +104,32 @@ def bright_particles(spark, sf_dir):
     return d.select("s_suppkey", "particles", F.round("area", 6).alias("area"))
 
 
+def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys with their frames, DRAWN at a time; a null key has frames of nulls. Remainders have the sign of SQL's."""
+    size = BAND * BAND
+    f, y, x = (a.ravel() for a in np.indices((FRAMES, BAND, BAND)))
+    base, ends = x * x * 31 + y * y * 17 + x * y * 7, np.arange(DRAWN + 1, dtype=np.int32) * FRAMES * size
+    for b in batches:
+        for at in range(0, b.num_rows, DRAWN):
+            some = b.slice(at, DRAWN)
+            key = some.column(0).cast(pa.int64())
+            k = key.fill_null(0).to_numpy(zero_copy_only=False)[:, None]
+            left, top = x - (np.fmod(k, 10) + f * 3), y - np.fmod(k, 30)
+            inside = (left >= 0) & (left <= 4 + np.fmod(k, 3)) & (top >= 2) & (top <= 7) & (np.fmod(k, 5) != 0)
+            values = (np.fmod(base + k * 13, 97) + 100 * inside).astype(np.int16).ravel()
+            gone = np.repeat(key.is_null().to_numpy(zero_copy_only=False), FRAMES * size)
+            frames = pa.ListArray.from_arrays(pa.array(ends[: len(some) + 1]), pa.array(values, mask=gone if gone.any() else None))
+            yield pa.RecordBatch.from_arrays([some.column(0), frames], ["s_suppkey", "frames"])
+
+
 def _stack(spark, sf_dir):
-    """Ten frames of 48 x 48: one texture for all, and a square that crosses it."""
-    k, size = F.col("s_suppkey").cast("int"), BAND * BAND
-    f, y, x = (lambda i: F.floor(i / size).cast("int")), (lambda i: F.floor(i % size / BAND).cast("int")), (lambda i: (i % BAND).cast("int"))
-    texture = lambda i: (x(i) * x(i) * 31 + y(i) * y(i) * 17 + x(i) * y(i) * 7 + k * 13) % 97
-    inside = lambda i: (x(i) - (k % 10 + f(i) * 3)).between(0, 4 + k % 3) & (y(i) - k % 30).between(2, 7)
-    value = lambda i: (texture(i) + F.when(inside(i) & (k % 5 != 0), 100).otherwise(0)).cast("double")
-    return read(spark, sf_dir, "supplier").select("s_suppkey", F.transform(F.sequence(F.lit(0), F.lit(FRAMES * size - 1)), value).alias("frames"))
+    """Ten frames of 48 x 48: one texture for all, and a square that crosses it.
+
+    A key is a few bytes and its frames take milliseconds, so keys are dealt out before anything is drawn.
+    """
+    keys = read(spark, sf_dir, "supplier").select("s_suppkey")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return keys.repartition(tasks).mapInArrow(_drawn, f"s_suppkey {keys.schema['s_suppkey'].dataType.simpleString()}, frames array<smallint>")
 
 
 @query(f"""WITH RECURSIVE px AS (SELECT s_suppkey AS k, CAST(p // 2304 AS INT) AS f, CAST(p % 2304 // 48 AS INT) AS y, CAST(p % 48 AS INT) AS x FROM supplier, range(0, 23040) AS t(p)),

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from benthos.operators import raster
+from benthos.plans import planes
 
 
 def plain_label(mask):
@@ -131,3 +132,22 @@ def test_rows_without_a_plane(spark):
     assert raster.colour_spread(df.limit(0), "id", "v", 4).count() == 0
     whole = spark.createDataFrame([(1, [255, 0, 0] * 4)], "id long, v array<int>")
     assert raster.colour_spread(whole, "id", "v", 3).first()["hues"][0] == 1
+
+
+def test_stacks_are_dealt_out_and_drawn_by_rule(spark, tmp_path):
+    keys = [*range(70), 10_006, -4, None]
+    spark.createDataFrame([(k,) for k in keys], "s_suppkey long").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    d = planes._stack(spark, str(tmp_path))
+    assert d.rdd.getNumPartitions() > 1
+    rem = math.fmod
+    for r in d.collect():
+        k, v = r["s_suppkey"], r["frames"]
+        assert len(v) == 23040
+        for i in range(0, 23040, 7):
+            f, y, x = i // 2304, i % 2304 // 48, i % 48
+            if k is None:
+                assert v[i] is None
+                continue
+            inside = rem(k, 5) != 0 and 0 <= x - (rem(k, 10) + f * 3) <= 4 + rem(k, 3) and 2 <= y - rem(k, 30) <= 7
+            assert v[i] == rem(x * x * 31 + y * y * 17 + x * y * 7 + k * 13, 97) + (100 if inside else 0)
+    assert planes.moving_objects(spark, str(tmp_path)).count() == len(keys)
