@@ -55,7 +55,8 @@ def scan_groups(df: DataFrame, keys: list[str], order: list[Column | str], whole
         cut = np.zeros(max(0, len(g) - 1), bool)
         for k in names:
             v = g[k].to_numpy()
-            cut |= (v[1:] != v[:-1]) & ~(pd.isna(v[1:]) & pd.isna(v[:-1]))
+            at = np.flatnonzero(v[1:] != v[:-1])
+            cut[at[~(pd.isna(v[at + 1]) & pd.isna(v[at]))]] = True
         return np.concatenate(([0], np.flatnonzero(cut) + 1, [len(g)]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -6,6 +6,8 @@ its natural unit (a recording, or a frame) in a total order, batch by batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -65,47 +67,169 @@ def gaps(sightings: DataFrame) -> DataFrame:
     return middle.select("recording", F.least(F.lit(GAP_CEILING), F.greatest(F.lit(TRACK_GAP), F.col("step") * GAP_SAMPLES)).alias("gap"))
 
 
+def pair_scores(found: np.ndarray, tracks: np.ndarray, same: np.ndarray, gate: float) -> np.ndarray:
+    """How well boxes go on tracks, pair by pair (a column each): 1 + overlap where that is enough, else nearness of one taxon, else 0."""
+    (fx1, fy1, fx2, fy2), (tx1, ty1, tx2, ty2) = found, tracks
+    both = np.maximum(0, np.minimum(fx2, tx2) - np.maximum(fx1, tx1)) * np.maximum(0, np.minimum(fy2, ty2) - np.maximum(fy1, ty1))
+    union = (fx2 - fx1) * (fy2 - fy1) + (tx2 - tx1) * (ty2 - ty1) - both
+    over = np.where(union > 0, both / np.where(union > 0, union, 1), 0.0)
+    out = np.where(over >= np.where(same, gate, RELABEL_IOU), 1 + over, 0.0)
+    drift = same & (over < gate)
+    if drift.any():
+        span = np.maximum(1.0, (tx2 - tx1 + fx2 - fx1) / 2)
+        moved = np.hypot((tx1 + tx2 - fx1 - fx2) / 2, (ty1 + ty2 - fy1 - fy2) / 2)
+        out = np.where(drift, np.maximum(0.0, 1 - moved / (span * DRIFT)), out)
+    return out
+
+
+def _spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, .. for count[0] places, then from start[1], and so on."""
+    return np.arange(int(count.sum())) + np.repeat(start - np.cumsum(count) + count, count)
+
+
 class Linker:
-    """Open tracks of one recording; feed moments in time order. Ids follow creation."""
+    """Open tracks of one recording; feed moments in time order. Ids follow creation.
+
+    In each moment detections choose in turn, the best track that is still free. Scores don't change within a
+    moment, so all propose at once and a track keeps the earliest of those that propose: the same matching,
+    without a loop. Where a moment has many boxes, pairs are made by falling overlap between boxes of nearby
+    cells only, and a detection goes on to the next level when it has no free track in this one.
+    """
+
+    #: Pairs that are scored at once; the least overlaps of the levels before the last, which has the pairs of one taxon.
+    CHUNK, LEVELS = 32_768, (0.75, 0.5, RELABEL_IOU)
 
     def __init__(self, gap: float, gate: float = TRACK_IOU):
         self.gap, self.gate, self.next = gap, gate, 0
         self.ids = np.zeros(0, np.int64)
         self.last = np.zeros(0)
         self.boxes = np.zeros((0, 4))
-        self.taxa: np.ndarray = np.zeros(0, object)
+        self.taxa = np.zeros(0, np.int64)
+        self.codes: dict[str | None, int] = {}
 
     def moment(self, second: float, boxes: np.ndarray, taxa: list[str]) -> list[int]:
         """Ids for detections of one moment, given most confident first."""
         keep = second - self.last <= self.gap
-        self.ids, self.last, self.boxes, self.taxa = self.ids[keep], self.last[keep], self.boxes[keep], self.taxa[keep]
-        free = self.last < second
-        out, fresh = [], []
-        for box, taxon in zip(boxes, taxa, strict=True):
-            at = -1
-            if len(self.ids) and free.any():
-                over = overlaps(box, self.boxes)
-                same = self.taxa == taxon
-                span = np.maximum(1.0, (self.boxes[:, 2] - self.boxes[:, 0] + box[2] - box[0]) / 2)
-                moved = np.hypot((self.boxes[:, 0] + self.boxes[:, 2] - box[0] - box[2]) / 2, (self.boxes[:, 1] + self.boxes[:, 3] - box[1] - box[3]) / 2)
-                near = np.maximum(0.0, 1 - moved / (span * DRIFT))
-                score = np.where(same, np.where(over >= self.gate, 1 + over, near), np.where(over >= RELABEL_IOU, 1 + over, 0.0))
-                score = np.where(free, score, 0.0)
-                k = int(score.argmax())
-                at = k if score[k] > 0 else -1
-            if at >= 0:
-                self.boxes[at], self.last[at], free[at] = box, second, False
-                out.append(int(self.ids[at]))
-            else:
-                out.append(self.next)
-                fresh.append((self.next, box, taxon))
-                self.next += 1
-        if fresh:
-            self.ids = np.append(self.ids, [f[0] for f in fresh])
-            self.last = np.append(self.last, [second] * len(fresh))
-            self.boxes = np.concatenate((self.boxes, np.array([f[1] for f in fresh], float)))
-            self.taxa = np.append(self.taxa, np.array([f[2] for f in fresh], object))
-        return out
+        if not keep.all():
+            self.ids, self.last, self.boxes, self.taxa = self.ids[keep], self.last[keep], self.boxes[keep], self.taxa[keep]
+        codes = np.array([self.codes.setdefault(t, len(self.codes)) for t in taxa], np.int64)
+        free = np.flatnonzero(self.last < second)
+        at = self._matched(boxes, codes, self.boxes[free], self.taxa[free])
+        on, fresh = at >= 0, at < 0
+        out = np.zeros(len(boxes), np.int64)
+        held = free[at[on]]
+        self.boxes[held], self.last[held] = boxes[on], second
+        out[on] = self.ids[held]
+        new = int(fresh.sum())
+        out[fresh] = self.next + np.arange(new)
+        self.next += new
+        if new:
+            self.ids = np.append(self.ids, out[fresh])
+            self.last = np.append(self.last, np.full(new, second))
+            self.boxes = np.concatenate((self.boxes, boxes[fresh]))
+            self.taxa = np.append(self.taxa, codes[fresh])
+        return out.tolist()
+
+    def _matched(self, boxes: np.ndarray, codes: np.ndarray, tracks: np.ndarray, taxa: np.ndarray) -> np.ndarray:
+        """The place in `tracks` that each box gets, or -1."""
+        n, m = len(boxes), len(tracks)
+        match = np.full(n, -1)
+        if not n or not m:
+            return match
+        if n * m <= self.CHUNK or self.gate <= 0 or not (np.isfinite(boxes).all() and np.isfinite(tracks).all()):
+            levels = [lambda some: self._scored(some, boxes, codes, tracks, taxa, np.arange(m), np.zeros((1, len(some)), np.int64), np.full((1, len(some)), m))]
+        else:
+            by = np.argsort(taxa, kind="stable")  # the last level: boxes of one taxon
+            ends = [np.searchsorted(taxa[by], codes, side) for side in ("left", "right")]
+            levels = [self._near(boxes, codes, tracks, taxa, x) for x in self.LEVELS]
+            levels.append(lambda some: self._scored(some, boxes, codes, tracks, taxa, by, ends[0][None, some], (ends[1] - ends[0])[None, some], 0.0))
+        holder, level, start, count = np.full(m, n), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        ats, scores = np.zeros(0, np.int64), np.zeros(0)
+        asking = np.arange(n)
+        while len(asking):
+            for k in np.unique(level[asking]):
+                some = asking[level[asking] == k]
+                row, at, score = levels[k](some)
+                count[some] = np.bincount(row, minlength=len(some))
+                start[some] = len(ats) + np.cumsum(count[some]) - count[some]
+                ats, scores = np.concatenate((ats, at)), np.concatenate((scores, score))
+            level[asking] += 1
+            spent, active = [asking[count[asking] == 0]], asking[count[asking] > 0]
+            while len(active):  # ascending
+                c = count[active]
+                p, head = _spans(start[active], c), np.cumsum(c) - c
+                t = ats[p]
+                s = np.where(holder[t] > np.repeat(active, c), scores[p], 0.0)
+                top = np.maximum.reduceat(s, head)
+                first = np.minimum.reduceat(np.where(s == np.repeat(top, c), t, m), head)
+                can = top > 0
+                spent.append(active[~can])
+                active, first = active[can], first[can]
+                got, winner = np.unique(first, return_index=True)  # the earliest of those that propose
+                lost = holder[got]
+                lost = lost[lost < n]
+                match[lost] = -1
+                holder[got] = active[winner]
+                match[active[winner]] = got
+                active = np.sort(np.concatenate((np.delete(active, winner), lost)))
+            asking = np.sort(np.concatenate(spent))
+            asking = asking[level[asking] < len(levels)]
+        return match
+
+    def _scored(self, some, boxes, codes, tracks, taxa, by, starts, counts, least: float | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row in `some`, track, score) of pairs that go together, by row; those that cannot overlap by `least`, or for 0 overlap or be near, are left out early.
+
+        Row i may meet the tracks by[starts[k, i]:][:counts[k, i]] of every k.
+        """
+        rows, ats, scores = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        each = counts.sum(0)
+        cuts = np.searchsorted(np.cumsum(each), np.arange(0, int(each.sum()) + self.CHUNK, self.CHUNK), "left")
+        cuts = np.unique(np.append(cuts, [0, len(some)]))
+        mine, theirs = boxes[some].T.copy(), tracks[by].T.copy()
+        own, other = [(b[2] - b[0]) * (b[3] - b[1]) for b in (mine, theirs)]
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            n = each[s:e]
+            row, place = np.repeat(np.arange(s, e), n), _spans(starts[:, s:e].T.ravel(), counts[:, s:e].T.ravel())
+            if least:
+                w = np.minimum(np.repeat(mine[2, s:e], n), theirs[2][place]) - np.maximum(np.repeat(mine[0, s:e], n), theirs[0][place])
+                h = np.minimum(np.repeat(mine[3, s:e], n), theirs[3][place]) - np.maximum(np.repeat(mine[1, s:e], n), theirs[1][place])
+                enough = w * h * (1 + least) >= (np.repeat(own[s:e], n) + other[place]) * (least * (1 - 1e-9))
+                maybe = np.flatnonzero(enough & (w > 0) & (h > 0))
+                row, place = row[maybe], place[maybe]
+            elif least is not None:
+                f, t = np.repeat(mine[:, s:e], n, axis=1), theirs[:, place]
+                span = np.maximum(1.0, (t[2] - t[0] + f[2] - f[0]) / 2) * (2 * DRIFT * (1 + 1e-9))
+                maybe = np.flatnonzero((np.abs(t[0] + t[2] - f[0] - f[2]) <= span) & (np.abs(t[1] + t[3] - f[1] - f[3]) <= np.maximum(span, t[3] - t[1] + f[3] - f[1])))
+                row, place = row[maybe], place[maybe]
+            at = by[place]
+            score = pair_scores(mine[:, row], theirs[:, place], codes[some[row]] == taxa[at], self.gate)
+            good = np.flatnonzero(score >= 1 + least if least else score > 0)
+            rows.append(row[good])
+            ats.append(at[good])
+            scores.append(score[good])
+        return np.concatenate(rows), np.concatenate(ats), np.concatenate(scores)
+
+    def _near(self, boxes, codes, tracks, taxa, least: float) -> Callable:
+        """_scored for overlaps of `least`: centres are then within a share of the mean side, so tracks lie in bands, by x in each."""
+        share = (1 - least) / (1 + least) * (1 + 1e-6)
+        x, y = (tracks[:, 0] + tracks[:, 2]) / 2, (tracks[:, 1] + tracks[:, 3]) / 2
+        fx, fy = (boxes[:, 0] + boxes[:, 2]) / 2, (boxes[:, 1] + boxes[:, 3]) / 2
+        reach = [np.maximum(0.0, (boxes[:, k + 2] - boxes[:, k] + (tracks[:, k + 2] - tracks[:, k]).max()) / 2 * share) for k in (0, 1)]
+        low, wide = x.min(), x.max() - x.min() + 2
+        band = max(float(reach[1].max()) / 2, (y.max() - y.min()) / 1000, 1e-6)
+        place = np.floor((y - y.min()) / band) * wide + (x - low)
+        by = np.argsort(place, kind="stable")
+        place, slack = place[by], wide * 1e-9
+        top, bottom = (np.floor((fy + d * (reach[1] + slack) - y.min()) / band) for d in (-1, 1))
+        left, right = (np.clip(fx - low + d * (reach[0] + slack), -0.5, wide - 1.5 + 1) for d in (-1, 1))
+        bands = int((bottom - top).max()) + 1
+
+        def pairs(some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            at = top[some] + np.arange(bands)[:, None]
+            start, stop = np.searchsorted(place, at * wide + left[some], "left"), np.searchsorted(place, at * wide + right[some], "right")
+            return self._scored(some, boxes, codes, tracks, taxa, by, start, np.where(at <= bottom[some], np.maximum(stop - start, 0), 0), least)
+
+        return pairs
 
 
 BOX = ["x1", "y1", "x2", "y2"]
@@ -117,7 +241,10 @@ class Tracker:
     def __init__(self, gap: float, gate: float):
         self.linker = Linker(gap, gate)
 
-    def feed(self, rows: pd.DataFrame) -> pd.DataFrame:
+    def feed(self, rows: pd.DataFrame) -> pd.DataFrame | None:
+        rows = rows[rows["_gap"].isna()]  # the others only tell the gap
+        if not len(rows):
+            return None
         boxes, taxa, seconds, ids = rows[BOX].to_numpy(float), rows["taxon"].tolist(), rows["second"].to_numpy(), []
         cuts = np.concatenate(([0], np.flatnonzero(seconds[1:] != seconds[:-1]) + 1, [len(rows)]))
         for s, e in zip(cuts[:-1], cuts[1:], strict=True):
@@ -136,12 +263,14 @@ def track(sightings: DataFrame, gap: float | None = None, gate: float = TRACK_IO
     """
     ship(sightings.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sightings.schema) + ", animal long"
-    if gap is None:
-        g = gaps(sightings).withColumnRenamed("recording", "_recording").withColumnRenamed("gap", "_gap")
-        x = sightings.join(g, sightings["recording"].eqNullSafe(F.col("_recording")), "left").drop("_recording").withColumn("_gap", F.coalesce("_gap", F.lit(TRACK_GAP)))
-    else:
-        x = sightings.withColumn("_gap", F.lit(float(gap)))
-    return scan_groups(x, ["recording"], [F.desc("confidence"), "ord"], ["second"], lambda r: Tracker(float(r["_gap"].iat[0]), gate), schema)
+    x = sightings.withColumn("_gap", F.lit(None).cast("double"))
+    if gap is None:  # a row before a recording's first tells its gap, so the sightings meet nothing and move once
+        fill = {"string": "", "boolean": False} | dict.fromkeys(("byte", "short", "integer", "long", "float", "double"), 0)
+        blank = [F.lit(None if f.name == "second" else fill.get(f.dataType.typeName())).cast(f.dataType).alias(f.name) for f in sightings.schema if f.name != "recording"]
+        x = x.unionByName(gaps(sightings).select("recording", *blank, F.col("gap").alias("_gap")))
+    usual = TRACK_GAP if gap is None else float(gap)
+    make = lambda r: Tracker(usual if pd.isna(r["_gap"].iat[0]) else r["_gap"].iat[0], gate)
+    return scan_groups(x, ["recording"], [F.col("_gap").isNull(), F.desc("confidence"), "ord"], ["second"], make, schema)
 
 
 def named(tracked: DataFrame, taxonomy_lineages: DataFrame) -> DataFrame:

@@ -140,12 +140,12 @@ def union_parts(spark, sf_dir):
 @query()
 def tracked_animals(spark, sf_dir):
     """Individuals of every recording: greedy tracking is not SQL; tests hold it to a plain restatement."""
-    return link.animals(link.track(adapt.sightings(spark, sf_dir)))
+    return link.animals(link.track(adapt.sightings(spark, sf_dir).drop("is_truth")))
 
 
 @query()
 def tracked_names(spark, sf_dir):
-    t = link.track(adapt.sightings(spark, sf_dir))
+    t = link.track(adapt.sightings(spark, sf_dir).drop("is_truth"))
     tax = adapt.taxonomy(spark, sf_dir)
     lin = hierarchy.lineages(tax, tax.select(F.col("name").alias("taxon"))).select(F.col("taxon").alias("name"), "lineage")
     return link.named(t, lin).withColumn("agreement", F.round("agreement", 6))

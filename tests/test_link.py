@@ -2,7 +2,9 @@
 
 import math
 import random
+import time
 
+import numpy as np
 import pytest
 
 from benthos.operators import link
@@ -146,3 +148,24 @@ def test_passes_vote_once_each(spark):
     assert got == [("a", 2, 0.5), ("c", 1, 0.1)]
     kept = link.distinct_individuals(s, ["frame"]).collect()
     assert sorted(r["ord"] for r in kept) == ["0", "2", "3"] or sorted(r["ord"] for r in kept) == ["0", "3"]
+
+
+def test_crowded_moments_match_a_plain_tracker(spark):
+    rng = random.Random(8)
+    rows = []
+    for m in range(5):
+        for i in range(260):
+            x, y, w, h = rng.randint(0, 160), rng.randint(0, 20) * 6, rng.randint(4, 40), rng.randint(4, 40)
+            rows.append(("r", m * 0.5, rng.choice("abcd"), rng.choice([0.2, 0.5, 0.9]), x, y, x + w, y + h, f"{m}-{i:04d}"))
+    assert 260 * 260 > link.Linker.CHUNK  # pairs are made by levels
+    got = {r["ord"]: r["animal"] for r in link.track(spark.createDataFrame(rows, S).repartition(3)).collect()}
+    assert got == plain_tracks(rows)
+
+
+def test_one_crowded_moment_after_another_follows_its_rows():
+    rng = np.random.default_rng(3)
+    linker, began = link.Linker(1.5), time.perf_counter()
+    for m in range(4):
+        at, size = rng.integers(0, (4000, 3000), (8000, 2)), rng.integers(10, 60, (8000, 2))
+        linker.moment(m * 0.25, np.concatenate((at, at + size), 1).astype(float), [str(t) for t in rng.integers(0, 25, 8000)])
+    assert time.perf_counter() - began < 6  # pair by pair this takes far longer
