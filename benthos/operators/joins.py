@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Stretches of time that an as-of join is split into, in tolerances.
 STRETCH = 64.0
+#: Rows of a few numbers that may be broadcast, or numbered by one task.
+FEW = 200_000
 
 
 def asof_nearest(left: DataFrame, right: DataFrame, key: str, at: str, tolerance: float, payload: list[str], constant: DataFrame | None = None) -> DataFrame:
@@ -71,7 +73,8 @@ def interval_first(left: DataFrame, right: DataFrame, at: str, start: str, stop:
 
     `keys` identify left rows; `on` are equi-keys that both sides share.  No pair is made: a sweep over the
     bounds of each key says which interval is the first from when on, a running window answers each distinct
-    (key, at) once, and left rows meet one answer at most.
+    (key, at) once, and left rows meet one answer at most.  Sides are counted first: few answers go to the left
+    rows, and of few intervals an answer is a number until the end, so left rows move once, by `keys`, and narrow.
     """
     on = on or []
     extra = [c for c in right.columns if c not in on]
@@ -81,7 +84,9 @@ def interval_first(left: DataFrame, right: DataFrame, at: str, start: str, stop:
 
     some = keyed(right).where(F.col(start).isNotNull() & (F.col(stop).isNull() | (F.col(start) <= F.col(stop))))
     some = some.select(*same, F.col(start).alias("_start"), F.col(stop).alias("_stop"), F.struct(*order, F.struct(*extra).alias("_r")).alias("_o"))
-    ranked = some.withColumn("_rank", F.row_number().over(Window.partitionBy(*same).orderBy("_o")).cast("long"))
+    few = right.limit(FEW + 1).count() <= FEW
+    numbers = Window.orderBy("_o", *same) if few else Window.partitionBy(*same).orderBy("_o")
+    ranked = some.withColumn("_rank", F.row_number().over(numbers).cast("long"))
 
     bound = lambda t, side: F.struct(F.col(t).alias("_t"), F.lit(side).alias("_side"), F.lit(side == 0).alias("_opens"))  # noqa: E731  left rows are side 1
     bounds = ranked.select(*same, "_rank", F.explode(F.array(bound("_start", 0), bound("_stop", 2))).alias("_b")).select(*same, "_b.*", "_rank").where("_t is not null")
@@ -94,14 +99,17 @@ def interval_first(left: DataFrame, right: DataFrame, at: str, start: str, stop:
     asked = keyed(left).select(*same, F.col(at).alias("_at")).where("_at is not null").distinct()
     both = asked.select(*same, "_at", F.col("_at").alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast("struct<r: bigint>").alias("_f")).unionByName(firsts.select(*same, F.lit(None).cast(asked.schema["_at"].dataType).alias("_at"), "_t", "_side", F.struct(F.col("_rank").alias("r")).alias("_f")))
     told = both.withColumn("_f", F.last("_f", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).where("_side = 1 and _f.r is not null").select(*same, "_at", F.col("_f.r").alias("_rank"))
-    told = told.join(ranked.select(*same, "_rank", "_o"), [*same, "_rank"]).drop("_rank")
+    told = told.withColumnRenamed("_rank", "_o") if few else told.join(ranked.select(*same, "_rank", "_o"), [*same, "_rank"]).drop("_rank")
+    told = F.broadcast(told) if few and asked.limit(FEW + 1).count() <= FEW else told
 
     cond = F.col(f"l.{at}") == F.col("r._at")
     for c, s in zip(on, same, strict=False):
         cond &= F.col(f"l.{c}") == F.col(f"r.{s}")
     j = left.alias("l").join(told.alias("r"), cond, "left")
-    g = j.groupBy(*[F.col(f"l.{k}").alias(f"_k{k}") for k in keys]).agg(*[F.any_value(F.col(f"l.{c}")).alias(c) for c in left.columns], F.min("r._o").alias("_o"))
-    return g.select(*left.columns, *[F.col(f"_o._r.{c}").alias(c) for c in extra])
+    g = j.groupBy(*[F.col(f"l.{k}").alias(f"_k{k}") for k in keys]).agg(*[F.any_value(F.col(f"l.{c}")).alias(c) for c in left.columns if c not in keys], F.min("r._o").alias("_o"))
+    if few:
+        g = g.withColumnRenamed("_o", "_rank").join(F.broadcast(ranked.select("_rank", "_o")), "_rank", "left")
+    return g.select(*[F.col(f"_k{c}").alias(c) if c in keys else F.col(c) for c in left.columns], *[F.col(f"_o._r.{c}").alias(c) for c in extra])
 
 
 def band(left: DataFrame, right: DataFrame, on: list[str], value: str, width: float) -> DataFrame:

@@ -62,6 +62,23 @@ def test_recordings_of_one_camera_with_many_deployments(spark):
     assert tuple(out) == (ROWS, 0) and took < 60  # half a billion pairs
 
 
+def test_left_rows_of_intervals_move_once_and_narrow(spark, monkeypatch):
+    rng = random.Random(6)
+    left = spark.createDataFrame([(rng.choice([*range(300), None]), rng.choice("abx"), rng.randint(0, 40)) for _ in range(400)], "id long, k string, at long")  # some keys are there twice
+    right = spark.createDataFrame([(rng.choice("ab"), rng.choice([*range(9), None]), s, rng.choice([s + rng.randint(0, 9), None]), rng.random()) for s in (rng.randint(0, 40) for _ in range(60))], "k string, no int, start long, stop long, depth double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        told = []
+        for few in (joins.FEW, 30, 0):  # all is few, the answers are many, the intervals are too
+            monkeypatch.setattr(joins, "FEW", few)
+            out = joins.interval_first(left, right, "at", "start", "stop", ["no"], ["id"], ["k"]).select("id", "no", "depth")
+            told.append((sorted(map(str, out.collect())), out._jdf.queryExecution().executedPlan().toString()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert told[0][0] == told[1][0] == told[2][0] and len(told[0][0]) > 200
+    assert "SortMergeJoin" not in told[0][1] and "SortAggregate" not in told[0][1] and "SortMergeJoin" in told[2][1]
+
+
 def test_boxes_of_one_animal(spark):
     looks = spark.range(ROWS).select(F.lit("k").alias("k"), (F.col("id") * 1.0).alias("second"), *[F.col("id").cast("double").alias(c) for c in link.BOX])
     moments = spark.range(ROWS).select(F.lit("k").alias("k"), (F.col("id") + 0.5).alias("now"))
