@@ -7,8 +7,13 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 
+#: Partitions, at least, of groups that take long: few of them then share a task.
+SPREAD = 200
+
 
 def stream_groups(df: DataFrame, keys: list[str], order: list[Column | str], work: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
     """work(rows of whole groups in order, their bounds) over all groups; one group and one batch are held at a time."""
@@ -91,3 +96,58 @@ def scan_groups(df: DataFrame, keys: list[str], order: list[Column | str], whole
                 yield pd.concat(out, ignore_index=True)
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *whole, *order).mapInPandas(run, schema)
+
+
+def _changes(t: pa.Table, names: list[str]) -> np.ndarray:
+    """Whether each row but the first differs from the one before it; nulls are alike."""
+    cut = np.zeros(max(0, len(t) - 1), bool)
+    for k in names:
+        a, b = t[k].slice(0, len(cut)), t[k].slice(1)
+        if pa.types.is_floating(t.schema.field(k).type):
+            a, b = a.to_numpy(), b.to_numpy()
+            cut |= (a != b) & ~(np.isnan(a) & np.isnan(b))
+        else:
+            cut |= pc.coalesce(pc.not_equal(a, b), pc.xor(a.is_null(), b.is_null())).to_numpy()
+    return cut
+
+
+class ArrowScan(Protocol):
+    """What follows one group's rows in order."""
+
+    def feed(self, rows: pa.Table) -> pa.Table: ...
+
+
+def scan_tables(df: DataFrame, keys: list[str], order: list[Column | str], whole: list[str], columns: list[str], make: Callable[[pa.Table], ArrowScan], schema: str) -> DataFrame:
+    """scan_groups for groups that take long, on Arrow tables of `columns` only: what just orders rows isn't sent.
+
+    Groups are dealt over SPREAD partitions at least.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan, now, held = None, None, None
+
+        def pieces(t: pa.Table, cut: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal scan, now
+            at = [0, *(np.flatnonzero(cut) + 1).tolist(), len(t)]
+            for s, e in zip(at[:-1], at[1:], strict=True):
+                part = t.slice(s, e - s)
+                key = tuple(None if v != v else v for v in (part[k][0].as_py() for k in keys))
+                if scan is None or key != now:
+                    scan, now = make(part), key
+                yield from scan.feed(part).to_batches()
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b] if held is None else [*held.to_batches(), b]).combine_chunks()
+            cut = _changes(t, keys)
+            at = np.flatnonzero(cut | _changes(t, whole))
+            last = int(at[-1]) + 1 if len(at) else 0
+            held = t.slice(last)
+            if last:
+                yield from pieces(t.slice(0, last), cut[: last - 1])
+        if held is not None:
+            yield from pieces(held, _changes(held, keys))
+
+    spread = max(SPREAD, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(spread, *keys).sortWithinPartitions(*keys, *whole, *order).select(*columns).mapInArrow(run, schema)

@@ -16,6 +16,11 @@ STRETCH = 64.0
 FEW = 200_000
 
 
+def small(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it has few rows; they are counted."""
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
+
+
 def asof_nearest(left: DataFrame, right: DataFrame, key: str, at: str, tolerance: float, payload: list[str], constant: DataFrame | None = None) -> DataFrame:
     """Each left row with the payload of the right row of its key nearest in `at` (seconds), within `tolerance`.
 

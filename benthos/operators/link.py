@@ -10,13 +10,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from benthos.functions.exprs import shared_prefix, touches_edge
 from benthos.storage import ship
 
-from .groups import scan_groups, stream_groups
+from .groups import scan_groups, scan_tables, stream_groups
+from .joins import small
 
 # Fixed values of the tracking rules.
 TRACK_IOU, RELABEL_IOU, TRACK_GAP, GAP_SAMPLES, DRIFT, BURST, GAP_CEILING = 0.15, 0.3, 1.5, 2.5, 3.0, 0.2, 30.0
@@ -107,12 +109,16 @@ class Linker:
         self.taxa = np.zeros(0, np.int64)
         self.codes: dict[str | None, int] = {}
 
-    def moment(self, second: float, boxes: np.ndarray, taxa: list[str]) -> list[int]:
-        """Ids for detections of one moment, given most confident first."""
+    def coded(self, taxa: list[str | None]) -> np.ndarray:
+        """Numbers for taxa, the same for the same one."""
+        return np.array([self.codes.setdefault(t, len(self.codes)) for t in taxa], np.int64)
+
+    def moment(self, second: float, boxes: np.ndarray, taxa: list[str | None] | np.ndarray) -> np.ndarray:
+        """Ids for detections of one moment, given most confident first; taxa as they are or coded."""
         keep = second - self.last <= self.gap
         if not keep.all():
             self.ids, self.last, self.boxes, self.taxa = self.ids[keep], self.last[keep], self.boxes[keep], self.taxa[keep]
-        codes = np.array([self.codes.setdefault(t, len(self.codes)) for t in taxa], np.int64)
+        codes = taxa if isinstance(taxa, np.ndarray) else self.coded(taxa)
         free = np.flatnonzero(self.last < second)
         at = self._matched(boxes, codes, self.boxes[free], self.taxa[free])
         on, fresh = at >= 0, at < 0
@@ -128,7 +134,7 @@ class Linker:
             self.last = np.append(self.last, np.full(new, second))
             self.boxes = np.concatenate((self.boxes, boxes[fresh]))
             self.taxa = np.append(self.taxa, codes[fresh])
-        return out.tolist()
+        return out
 
     def _matched(self, boxes: np.ndarray, codes: np.ndarray, tracks: np.ndarray, taxa: np.ndarray) -> np.ndarray:
         """The place in `tracks` that each box gets, or -1."""
@@ -236,41 +242,45 @@ BOX = ["x1", "y1", "x2", "y2"]
 
 
 class Tracker:
-    """A Linker that follows one recording's rows, moment by moment."""
+    """A Linker that follows one recording's rows, moment by moment, and returns `columns` of them."""
 
-    def __init__(self, gap: float, gate: float):
-        self.linker = Linker(gap, gate)
+    def __init__(self, gap: float, gate: float, columns: list[str]):
+        self.linker, self.columns = Linker(gap, gate), columns
 
-    def feed(self, rows: pd.DataFrame) -> pd.DataFrame | None:
-        rows = rows[rows["_gap"].isna()]  # the others only tell the gap
-        if not len(rows):
-            return None
-        boxes, taxa, seconds, ids = rows[BOX].to_numpy(float), rows["taxon"].tolist(), rows["second"].to_numpy(), []
-        cuts = np.concatenate(([0], np.flatnonzero(seconds[1:] != seconds[:-1]) + 1, [len(rows)]))
-        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-            ids += self.linker.moment(float(seconds[s]), boxes[s:e], taxa[s:e])
-        return rows.drop(columns="_gap").assign(animal=ids)
+    def feed(self, rows: pa.Table) -> pa.Table:
+        rows = rows.filter(rows["_gap"].is_null()).combine_chunks()  # the others only tell the gap
+        ids = [np.zeros(0, np.int64)]
+        if len(rows):
+            boxes = np.stack([rows[c].to_numpy().astype(float) for c in BOX], 1)
+            seconds, taxon = rows["second"].to_numpy(), rows["taxon"].chunk(0).dictionary_encode("encode")
+            taxa = self.linker.coded(taxon.dictionary.to_pylist())[taxon.indices.to_numpy()]
+            cuts = np.concatenate(([0], np.flatnonzero(seconds[1:] != seconds[:-1]) + 1, [len(rows)]))
+            ids += [self.linker.moment(float(seconds[s]), boxes[s:e], taxa[s:e]) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+        return rows.select(self.columns).append_column("animal", pa.array(np.concatenate(ids)))
 
-    def end(self) -> None:
-        return None
 
-
-def track(sightings: DataFrame, gap: float | None = None, gate: float = TRACK_IOU) -> DataFrame:
-    """sightings with `animal`, numbered from 0 in each recording in order of first sight.
+def track(sightings: DataFrame, gap: float | None = None, gate: float = TRACK_IOU, columns: list[str] | None = None) -> DataFrame:
+    """sightings (or `columns` of them) with `animal`, numbered from 0 in each recording in order of first sight.
 
     Needs recording, second, taxon, confidence, the box and `ord`, which breaks ties of confidence.  A task
     holds a batch of rows and the open tracks, never a recording.
     """
     ship(sightings.sparkSession)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sightings.schema) + ", animal long"
-    x = sightings.withColumn("_gap", F.lit(None).cast("double"))
+    columns = columns or sightings.columns
+    schema = ", ".join(f"`{c}` {sightings.schema[c].dataType.simpleString()}" for c in columns) + ", animal long"
+    needed = list(dict.fromkeys(["recording", "second", "taxon", *BOX, *columns]))
+    x = sightings.select(*needed, *[c for c in ("confidence", "ord") if c not in needed], F.lit(None).cast("double").alias("_gap"))
     if gap is None:  # a row before a recording's first tells its gap, so the sightings meet nothing and move once
         fill = {"string": "", "boolean": False} | dict.fromkeys(("byte", "short", "integer", "long", "float", "double"), 0)
-        blank = [F.lit(None if f.name == "second" else fill.get(f.dataType.typeName())).cast(f.dataType).alias(f.name) for f in sightings.schema if f.name != "recording"]
+        blank = [F.lit(None if f.name == "second" else fill.get(f.dataType.typeName())).cast(f.dataType).alias(f.name) for f in x.schema if f.name not in ("recording", "_gap")]
         x = x.unionByName(gaps(sightings).select("recording", *blank, F.col("gap").alias("_gap")))
     usual = TRACK_GAP if gap is None else float(gap)
-    make = lambda r: Tracker(usual if pd.isna(r["_gap"].iat[0]) else r["_gap"].iat[0], gate)
-    return scan_groups(x, ["recording"], [F.col("_gap").isNull(), F.desc("confidence"), "ord"], ["second"], make, schema)
+
+    def make(rows: pa.Table) -> Tracker:
+        own = rows["_gap"][0].as_py()
+        return Tracker(usual if own is None else own, gate, columns)
+
+    return scan_tables(x, ["recording"], [F.col("_gap").isNull(), F.desc("confidence"), "ord"], ["second"], [*needed, "_gap"], make, schema)
 
 
 def named(tracked: DataFrame, taxonomy_lineages: DataFrame) -> DataFrame:
@@ -278,17 +288,18 @@ def named(tracked: DataFrame, taxonomy_lineages: DataFrame) -> DataFrame:
 
     taxonomy_lineages: (name, lineage array); a name it lacks is under Unplaced.
     """
-    best = Window.partitionBy("recording", "animal")
-    heard = tracked.where("taxon is not null and taxon <> ''").withColumn("best", F.max("confidence").over(best)).where(F.col("confidence") >= F.col("best") * REACH)
-    weight = heard.groupBy("recording", "animal", "taxon").agg(F.sum("confidence").alias("w"), F.min(F.struct("second", (-F.col("confidence")).alias("c"), "ord")).alias("first"))
-    lin = weight.join(taxonomy_lineages, weight["taxon"] == taxonomy_lineages["name"], "left").withColumn("lin", F.coalesce("lineage", F.array(F.lit("Unplaced"), F.col("taxon"))))
-    g = lin.groupBy("recording", "animal").agg(F.count("*").alias("n"), F.sum("w").alias("total"), F.max("w").alias("top"), F.min("taxon").alias("only"), F.collect_list("lin").alias("lins"))
+    best = F.max(F.when(F.col("taxon") != "", F.col("confidence"))).over(Window.partitionBy("recording", "animal"))
+    heard = F.when((F.col("taxon") != "") & (F.col("confidence") >= F.col("best") * REACH), F.col("taxon"))
+    looks = tracked.select("recording", "animal", "taxon", "confidence").withColumn("best", best).withColumn("taxon", heard)  # tracking is costly, so it is read once
+    weight = looks.groupBy("recording", "animal", "taxon").agg(F.sum("confidence").alias("w"))
+    lin = weight.join(small(taxonomy_lineages.select("name", "lineage")), F.col("taxon") == F.col("name"), "left").withColumn("lin", F.when(F.col("taxon").isNotNull(), F.coalesce("lineage", F.array(F.lit("Unplaced"), F.col("taxon")))))
+    w = F.when(F.col("taxon").isNotNull(), F.col("w"))
+    g = lin.groupBy("recording", "animal").agg(F.count("taxon").alias("n"), F.sum(w).alias("total"), F.max(w).alias("top"), F.min("taxon").alias("only"), F.collect_list("lin").alias("lins"))
     shared = F.element_at(shared_prefix(F.col("lins")), -1)
     deep = F.when(F.size(shared_prefix(F.col("lins"))) > 0, shared)
-    name = F.when(F.col("n") == 1, F.col("only")).when(deep.isNull() | deep.isin("Unplaced", "Animalia"), F.lit("Undecided")).otherwise(deep)
-    agree = F.when(F.col("n") == 1, F.lit(1.0)).otherwise(F.col("top") / F.when(F.col("total") != 0, F.col("total")).otherwise(1.0))
-    found = g.select("recording", "animal", name.alias("taxon"), agree.alias("agreement"))
-    return tracked.select("recording", "animal").distinct().join(found, ["recording", "animal"], "left").select("recording", "animal", F.coalesce("taxon", F.lit("Undecided")).alias("taxon"), F.coalesce("agreement", F.lit(0.0)).alias("agreement"))
+    name = F.when(F.col("n") == 1, F.col("only")).when((F.col("n") == 0) | deep.isNull() | deep.isin("Unplaced", "Animalia"), F.lit("Undecided")).otherwise(deep)
+    agree = F.when(F.col("n") == 0, 0.0).when(F.col("n") == 1, 1.0).otherwise(F.col("top") / F.when(F.col("total") != 0, F.col("total")).otherwise(1.0))
+    return g.select("recording", "animal", name.alias("taxon"), F.coalesce(agree, F.lit(0.0)).alias("agreement"))
 
 
 def animals(tracked: DataFrame, width: int = 640, height: int = 360) -> DataFrame:

@@ -145,7 +145,7 @@ def tracked_animals(spark, sf_dir):
 
 @query()
 def tracked_names(spark, sf_dir):
-    t = link.track(adapt.sightings(spark, sf_dir).drop("is_truth"))
+    t = link.track(adapt.sightings(spark, sf_dir).drop("is_truth"), columns=["recording", "taxon", "confidence"])
     tax = adapt.taxonomy(spark, sf_dir)
     lin = hierarchy.lineages(tax, tax.select(F.col("name").alias("taxon"))).select(F.col("taxon").alias("name"), "lineage")
     return link.named(t, lin).withColumn("agreement", F.round("agreement", 6))

@@ -106,6 +106,20 @@ def test_names(spark, looks, want):
     assert r["taxon"] == want[0] and abs(r["agreement"] - want[1]) < 1e-9
 
 
+def test_names_track_once_and_send_what_they_need(spark):
+    rows = [(*r[:2], random.Random(r[8]).choice([r[2], "", None]), *r[3:]) for r in random_sightings(random.Random(5), 3, 60)]
+    rows += [(None, 1.0, "a", 0.9, 0, 0, 9, 9, "x"), ("r0", None, "b", 0.9, 0, 0, 9, 9, "y")]
+    lin = spark.createDataFrame([("a", ["Animalia", "p", "a"]), ("b", ["Animalia", "p", "b"])], "name string, lineage array<string>")
+    df = spark.createDataFrame(rows, S)
+    whole, few = link.track(df), link.track(df, columns=["recording", "taxon", "confidence"])
+    assert few.columns == ["recording", "taxon", "confidence", "animal"] and whole.columns == [*df.columns, "animal"]
+    assert sorted(map(str, few.collect())) == sorted(map(str, whole.select(few.columns).collect())) and whole.count() == len(rows)
+    named = link.named(link.track(df, gap=2.0, columns=few.columns[:3]), lin)
+    assert named._jdf.queryExecution().optimizedPlan().toString().count("MapIn") == 1
+    assert named.count() == link.track(df, gap=2.0).select("recording", "animal").distinct().count()
+    assert named.where("taxon is null or agreement is null").count() == 0 and named.where("taxon = 'Undecided'").count() > 0
+
+
 def plain_match(found, truth):
     taken, out = set(), {}
     for f in sorted(found, key=lambda f: (-f[2], f[3])):
