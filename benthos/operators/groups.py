@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 
 #: Partitions, at least, of groups that take long: few of them then share a task.
-SPREAD = 200
+SPREAD = 96
 
 
 def stream_groups(df: DataFrame, keys: list[str], order: list[Column | str], work: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame], schema: str) -> DataFrame:

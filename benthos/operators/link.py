@@ -99,7 +99,7 @@ class Linker:
     """
 
     #: Pairs that are scored at once; the least overlaps of the levels before the last, which has the pairs of one taxon.
-    CHUNK, LEVELS = 32_768, (0.75, 0.5, RELABEL_IOU)
+    CHUNK, LEVELS = 32_768, (0.6, RELABEL_IOU)
 
     def __init__(self, gap: float, gate: float = TRACK_IOU):
         self.gap, self.gate, self.next = gap, gate, 0
@@ -113,7 +113,7 @@ class Linker:
         """Numbers for taxa, the same for the same one."""
         return np.array([self.codes.setdefault(t, len(self.codes)) for t in taxa], np.int64)
 
-    def moment(self, second: float, boxes: np.ndarray, taxa: list[str | None] | np.ndarray) -> np.ndarray:
+    def moment(self, second: float, boxes: np.ndarray, taxa: list[str | None] | np.ndarray) -> list[int]:
         """Ids for detections of one moment, given most confident first; taxa as they are or coded."""
         keep = second - self.last <= self.gap
         if not keep.all():
@@ -134,7 +134,7 @@ class Linker:
             self.last = np.append(self.last, np.full(new, second))
             self.boxes = np.concatenate((self.boxes, boxes[fresh]))
             self.taxa = np.append(self.taxa, codes[fresh])
-        return out
+        return out.tolist()
 
     def _matched(self, boxes: np.ndarray, codes: np.ndarray, tracks: np.ndarray, taxa: np.ndarray) -> np.ndarray:
         """The place in `tracks` that each box gets, or -1."""
@@ -249,14 +249,15 @@ class Tracker:
 
     def feed(self, rows: pa.Table) -> pa.Table:
         rows = rows.filter(rows["_gap"].is_null()).combine_chunks()  # the others only tell the gap
-        ids = [np.zeros(0, np.int64)]
+        ids: list[int] = []
         if len(rows):
             boxes = np.stack([rows[c].to_numpy().astype(float) for c in BOX], 1)
             seconds, taxon = rows["second"].to_numpy(), rows["taxon"].chunk(0).dictionary_encode("encode")
             taxa = self.linker.coded(taxon.dictionary.to_pylist())[taxon.indices.to_numpy()]
             cuts = np.concatenate(([0], np.flatnonzero(seconds[1:] != seconds[:-1]) + 1, [len(rows)]))
-            ids += [self.linker.moment(float(seconds[s]), boxes[s:e], taxa[s:e]) for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
-        return rows.select(self.columns).append_column("animal", pa.array(np.concatenate(ids)))
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+                ids += self.linker.moment(float(seconds[s]), boxes[s:e], taxa[s:e])
+        return rows.select(self.columns).append_column("animal", pa.array(ids, pa.int64()))
 
 
 def track(sightings: DataFrame, gap: float | None = None, gate: float = TRACK_IOU, columns: list[str] | None = None) -> DataFrame:
